@@ -81,14 +81,10 @@ def tokens(c, stop_words: list[str] | None = None) -> Column:
 def ngram_terms(token_array, ngrams: tuple[int, int] = (1, 2)) -> Column:
     """All n-grams (n from low to high) of a token array, repeats kept."""
     t = col(token_array)
-    parts = []
-    for n in range(ngrams[0], ngrams[1] + 1):
-        if n == 1:
-            parts.append(t)
-            continue
-        windows = F.transform(
-            F.slice(t, 1, F.greatest(F.size(t) - F.lit(n - 1), F.lit(0))),
-            lambda w, i, n=n: F.concat_ws(" ", *[w if k == 0 else F.get(t, i + k) for k in range(n)]),
-        )
-        parts.append(windows)
+
+    def windows(n: int) -> Column:
+        starts = F.slice(t, 1, F.greatest(F.size(t) - F.lit(n - 1), F.lit(0)))
+        return F.transform(starts, lambda w, i: F.concat_ws(" ", w, *[F.get(t, i + F.lit(k)) for k in range(1, n)]))
+
+    parts = [t if n == 1 else windows(n) for n in range(ngrams[0], ngrams[1] + 1)]
     return F.concat(*parts) if len(parts) > 1 else parts[0]

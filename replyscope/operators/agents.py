@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from replyscope.functions.columns import count_where, rate, safe_divide, with_scalar
 from replyscope.operators.features import usage_outcomes
 from replyscope.operators.ranking import average_ranks, grouped_quantile, number_rows
+from replyscope.sources.tables import stage
 
 
 def agent_metrics(ticket_features: DataFrame, median: bool = True) -> DataFrame:
@@ -127,7 +128,7 @@ def agent_recommendations(
     """
     good = scores.where((F.col("macro_effectiveness_index") >= min_index) & F.col("has_sufficient_usage"))
     good = good.select("macro_id", "macro_name", "category", "macro_effectiveness_index", "usage_count")
-    numbered = number_rows(good, "macro_effectiveness_index", "macro_id", "_k")
+    numbered = stage(number_rows(good, "macro_effectiveness_index", "macro_id", "_k"))
     known = agents.select("agent_id").where(F.col("agent_id").isNotNull()).distinct()
     taken = (
         used.select("agent_id", "macro_id").distinct().join(numbered.select("macro_id", "_k"), "macro_id")

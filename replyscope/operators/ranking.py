@@ -4,12 +4,14 @@ A window without a partition key (or with one hot key) sends every row to one ta
 values are first collapsed to counts, the distinct values are cut into at most ``BUCKETS`` ranges
 whose borders come from a bounded quantile sketch, and running sums are taken inside each range
 plus a per-range offset. The borders only balance the work: the results are exact whatever they are.
+The collapsed counts are read several times and therefore kept.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyscope.functions.columns import col, scalar
+from replyscope.sources.tables import stage
 
 BUCKETS = 128
 _BORDERS = [i / BUCKETS for i in range(1, BUCKETS)]
@@ -64,7 +66,7 @@ def average_ranks(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
     long = df.select(id_col, pairs.alias("p")).select(id_col, "p.*").where(
         F.col("value").isNotNull() & ~F.isnan("value")
     )
-    counts = long.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(long.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n")))
     ranked = running_counts(counts, ["metric"], "value", "n").select(
         "metric",
         "value",

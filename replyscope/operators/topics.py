@@ -1,9 +1,87 @@
-"""Topic clusters of macros."""
+"""Topic clusters of macros: k-means, labels, summaries and cluster quality."""
 
-from pyspark.sql import DataFrame
+from __future__ import annotations
+
+from concurrent.futures import ThreadPoolExecutor
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml import PipelineModel
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from replyscope.functions.text import title_case
+from replyscope.operators.blocks import BLOCK, cells, matrix, over_cells, split
 from replyscope.operators.ranking import grouped_quantile
+from replyscope.operators.texts import TfidfModel
+from replyscope.schemas import NUM_CLUSTERS, SEED
+
+
+def fit_kmeans(
+    vectors: DataFrame,
+    k: int = NUM_CLUSTERS,
+    restarts: int = 10,
+    seed: int = SEED,
+    parallelism: int = 4,
+    features: str = "features",
+) -> KMeansModel:
+    """Best of several seeded starts by training cost. Fits run side by side; each is distributed."""
+
+    def fit(s: int) -> KMeansModel:
+        return KMeans(k=k, seed=s, maxIter=300, tol=1e-4, featuresCol=features, predictionCol="cluster_id").fit(vectors)
+
+    with ThreadPoolExecutor(max(1, min(parallelism, restarts))) as pool:
+        fitted = list(pool.map(fit, range(seed, seed + restarts)))
+    return min(fitted, key=lambda m: m.summary.trainingCost)
+
+
+def assign_topics(model: KMeansModel, vectors: DataFrame) -> DataFrame:
+    return model.transform(vectors)
+
+
+def save_models(path: str, tfidf: TfidfModel, clusters: KMeansModel) -> str:
+    """Text weighting and clustering as one reloadable pipeline over a ``_terms`` column."""
+    PipelineModel([*tfidf.stages().stages, clusters]).write().overwrite().save(path)
+    return path
+
+
+def load_models(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def cluster_labels(weights: DataFrame, members: DataFrame, n: int = 3) -> DataFrame:
+    """Highest mean term weights of each cluster as a label.
+
+    ``weights`` is (macro_id, term, weight), ``members`` (macro_id, cluster_id). The term table per
+    cluster is bounded by the vocabulary.
+    """
+    sizes = members.where(F.col("cluster_id").isNotNull()).groupBy("cluster_id").agg(
+        F.count(F.lit(1)).alias("n_members")
+    )
+    summed = weights.join(members, "macro_id").groupBy("cluster_id", "term").agg(F.sum("weight").alias("_w"))
+    mean = summed.join(sizes, "cluster_id").withColumn(
+        "_m", F.floor(F.col("_w") / F.col("n_members") * 1e9 + 0.5)
+    )
+    best = Window.partitionBy("cluster_id").orderBy(F.desc("_m"), "term")
+    top = mean.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= n)
+    words = F.sort_array(F.collect_list(F.struct("_r", "term")))
+    return top.groupBy("cluster_id").agg(
+        title_case(F.array_join(F.transform(words, lambda x: x["term"]), " / ")).alias("cluster_label")
+    )
+
+
+def cluster_macros(
+    scores: DataFrame, vectors: DataFrame, weights: DataFrame, model: KMeansModel
+) -> DataFrame:
+    """Scores with ``cluster_id`` and ``cluster_label``."""
+    members = model.transform(vectors).select("macro_id", "cluster_id")
+    labels = cluster_labels(weights, members)
+    return scores.join(members, "macro_id").join(labels, "cluster_id", "left").withColumn(
+        "cluster_label", F.coalesce("cluster_label", F.lit(""))
+    )
 
 
 def cluster_summary(clustered: DataFrame) -> DataFrame:
@@ -21,3 +99,108 @@ def cluster_summary(clustered: DataFrame) -> DataFrame:
     median = grouped_quantile(known, keys, "macro_effectiveness_index", 0.5, "median_effectiveness")
     flag = (F.col("num_macros") >= 5) & (F.col("avg_effectiveness") < 50)
     return summary.join(median, keys, "left").withColumn("consolidation_candidate", F.coalesce(flag, F.lit(False)))
+
+
+def silhouettes(points: DataFrame, id_col: str, v: str, labels: str, block: int = BLOCK) -> DataFrame:
+    """Exact Euclidean silhouette of every point under each of several labelings.
+
+    ``labels`` is an array of cluster numbers, one per labeling. Cells add up the distances from each
+    point to each cluster, so pairs never leave a cell; a point alone in its cluster scores 0. Output:
+    (id, labeling, cluster, silhouette).
+    """
+    kind = points.schema[id_col].dataType.simpleString()
+    rows = points.select(F.col(id_col).alias("id"), F.col(v).cast("array<double>").alias("v"),
+                         F.col(labels).cast("array<int>").alias("l"))
+    sizes = rows.select(F.posexplode("l").alias("labeling", "cluster")).groupBy("labeling", "cluster").agg(
+        F.count(F.lit(1)).alias("size")
+    )
+
+    def sums(a: pa.Table, b: pa.Table, distance: np.ndarray) -> pa.Table:
+        groups = matrix(b.column("l")).astype(np.int64)
+        out = {"id": [], "labeling": [], "cluster": [], "d": []}
+        for g in range(groups.shape[1]):
+            present, where = np.unique(groups[:, g], return_inverse=True)
+            total = distance @ np.eye(len(present))[where]
+            out["id"].append(a.column("id").combine_chunks().take(pa.array(np.repeat(np.arange(len(a)), len(present)))))
+            out["labeling"].append(np.full(total.size, g, dtype=np.int32))
+            out["cluster"].append(np.tile(present, len(a)).astype(np.int32))
+            out["d"].append(total.ravel())
+        return pa.table({
+            "id": pa.chunked_array(out["id"]), "labeling": np.concatenate(out["labeling"]),
+            "cluster": np.concatenate(out["cluster"]), "d": np.concatenate(out["d"]),
+        })
+
+    def work(table: pa.Table) -> pa.Table:
+        first, second, same = split(table)
+        x, y = matrix(first.column("v")), matrix(second.column("v"))
+        squared = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T
+        distance = np.sqrt(np.maximum(squared, 0))
+        if same:
+            np.fill_diagonal(distance, 0)
+            return sums(first, second, distance)
+        one, two = sums(first, second, distance), sums(second, first, distance.T)
+        return pa.concat_tables([one, two])
+
+    totals = over_cells(cells(rows, "id", block), work, f"id {kind}, labeling int, cluster int, d double")
+    totals = totals.groupBy("id", "labeling", "cluster").agg(F.sum("d").alias("d"))
+    own = rows.select("id", F.posexplode("l").alias("labeling", "own"))
+    placed = totals.join(sizes, ["labeling", "cluster"]).join(own, ["id", "labeling"])
+    mine = F.col("cluster") == F.col("own")
+    means = placed.groupBy("id", "labeling").agg(
+        F.max("own").alias("cluster"),
+        F.max(F.when(mine, F.col("size"))).alias("_n"),
+        F.max(F.when(mine, F.try_divide(F.col("d"), F.col("size") - 1))).alias("_a"),
+        F.min(F.when(~mine, F.col("d") / F.col("size"))).alias("_b"),
+    )
+    score = F.try_divide(F.col("_b") - F.col("_a"), F.greatest("_a", "_b"))
+    return means.select(
+        F.col("id").alias(id_col), "labeling", "cluster",
+        F.when((F.col("_n") == 1) | F.col("_b").isNull(), 0.0).otherwise(F.coalesce(score, F.lit(0.0))).alias("silhouette"),
+    )
+
+
+def silhouette_by_cluster(points: DataFrame) -> DataFrame:
+    """Mean silhouette and size per cluster, and the overall mean under cluster -1."""
+    per = points.groupBy("cluster").agg(F.avg("silhouette").alias("silhouette"), F.count(F.lit(1)).alias("size"))
+    overall = points.agg(F.avg("silhouette").alias("silhouette"), F.count(F.lit(1)).alias("size"))
+    return per.unionByName(overall.select(F.lit(-1).alias("cluster"), "silhouette", "size"))
+
+
+def elbow_sweep(
+    vectors: DataFrame, id_col: str, ks: range = range(4, 20), restarts: int = 10, seed: int = SEED,
+    features: str = "features", parallelism: int = 4,
+) -> DataFrame:
+    """Inertia and mean silhouette per number of clusters; one distance pass serves all of them."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        models = list(pool.map(lambda k: fit_kmeans(vectors, k, restarts, seed, 1, features), ks))
+    labelled = vectors.select(id_col, features)
+    for k, model in zip(ks, models):
+        labelled = model.copy().setPredictionCol(f"_k{k}").transform(labelled)
+    points = labelled.select(
+        id_col, vector_to_array(features).alias("v"), F.array(*[F.col(f"_k{k}") for k in ks]).alias("l")
+    )
+    inertia = vectors.sparkSession.createDataFrame(
+        [(i, k, float(m.summary.trainingCost)) for i, (k, m) in enumerate(zip(ks, models))],
+        "labeling int, k int, inertia double",
+    )
+    means = silhouettes(points, id_col, "v", "l").groupBy("labeling").agg(F.avg("silhouette").alias("silhouette"))
+    return F.broadcast(inertia).join(means, "labeling").drop("labeling")
+
+
+def pca_2d(vectors: DataFrame, id_col: str, model: KMeansModel | None = None, features: str = "features"):
+    """Two centred principal components per row; also projected cluster centres and variance shares."""
+    centred = StandardScaler(withMean=True, withStd=False, inputCol=features, outputCol="_centred").fit(vectors)
+    pca = PCA(k=2, inputCol="_centred", outputCol="_pc").fit(centred.transform(vectors))
+
+    def project(df: DataFrame, *keep: str) -> DataFrame:
+        axes = vector_to_array("_pc")
+        out = pca.transform(centred.transform(df))
+        return out.select(*keep, axes[0].alias("pc1"), axes[1].alias("pc2"))
+
+    centres = None
+    if model is not None:
+        from pyspark.ml.linalg import Vectors
+
+        rows = [(i, Vectors.dense(c)) for i, c in enumerate(model.clusterCenters())]
+        centres = project(vectors.sparkSession.createDataFrame(rows, ["cluster_id", features]), "cluster_id")
+    return project(vectors, id_col), centres, [float(x) for x in pca.explainedVariance.toArray()]

@@ -22,16 +22,16 @@ class Desk(Library):
 
     @cached_property
     def indexed(self) -> DataFrame:
-        """Scores without the percentile."""
-        return scoring.macro_index(self.features, scoring.baseline_overall(self.tickets))
+        """Scores without the percentile, kept like the other macro-sized tables."""
+        return stage(scoring.macro_index(self.features, scoring.baseline_overall(self.tickets)))
 
     @cached_property
     def scores(self) -> DataFrame:
-        return scoring.add_percentile(self.indexed)
+        return stage(scoring.add_percentile(self.indexed))
 
     @cached_property
     def categorized(self) -> DataFrame:
-        return scoring.categorize_macros(self.scores)
+        return stage(scoring.categorize_macros(self.scores))
 
     @cached_property
     def owned(self) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from replyscope.functions import columns as C
+from replyscope.functions import text as X
 from replyscope.operators import (
     agents,
     cleaning,
@@ -14,14 +16,28 @@ from replyscope.operators import (
     experiments,
     features,
     pairs,
+    predict,
     quality,
     ranking,
     recommend,
     reports,
     scoring,
+    similarity,
+    texts,
+    topics,
     trends,
 )
 from replyscope.plans.desk import Desk
+from replyscope.schemas import TICKETS
+from replyscope.sources.tables import (
+    read_csv,
+    read_parquet,
+    spread,
+    stage,
+    work_folder,
+    write_bundle,
+    write_table,
+)
 
 QUERIES: dict[str, Callable[[Desk], DataFrame]] = {}
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType)
@@ -136,9 +152,7 @@ def check_score_rows(d: Desk) -> DataFrame:
 
 @query
 def check_cluster_rows(d: Desk) -> DataFrame:
-    from replyscope.operators.topics import cluster_summary as summarize
-
-    return _with_violations(quality.check_cluster_rows(summarize(d.owned)), "cluster_id", "cluster_label")
+    return _with_violations(quality.check_cluster_rows(topics.cluster_summary(d.owned)), "cluster_id", "cluster_label")
 
 
 @query
@@ -539,9 +553,7 @@ def eval_landscape(d: Desk) -> DataFrame:
 
 @query
 def eval_recommendations(d: Desk) -> DataFrame:
-    from replyscope.operators.topics import cluster_summary as summarize
-
-    return present(recommend.eval_recommendations(d.categorized, summarize(d.owned)))
+    return present(recommend.eval_recommendations(d.categorized, topics.cluster_summary(d.owned)))
 
 
 @query
@@ -622,23 +634,17 @@ def histogram_index(d: Desk) -> DataFrame:
 
 @query
 def cluster_display(d: Desk) -> DataFrame:
-    from replyscope.operators.topics import cluster_summary as summarize
-
-    return present(reports.cluster_display(summarize(d.owned)))
+    return present(reports.cluster_display(topics.cluster_summary(d.owned)))
 
 
 @query
 def consolidation_candidates(d: Desk) -> DataFrame:
-    from replyscope.operators.topics import cluster_summary as summarize
-
-    return present(reports.consolidation_candidates(summarize(d.owned)), "cluster_id", "cluster_label", "num_macros")
+    return present(reports.consolidation_candidates(topics.cluster_summary(d.owned)), "cluster_id", "cluster_label", "num_macros")
 
 
 @query
 def cluster_summary(d: Desk) -> DataFrame:
-    from replyscope.operators.topics import cluster_summary as summarize
-
-    return present(summarize(d.owned))
+    return present(topics.cluster_summary(d.owned))
 
 
 # --- experiments -------------------------------------------------------------------------------
@@ -683,3 +689,324 @@ def ab_findings(d: Desk) -> DataFrame:
 @query
 def sample_size(d: Desk) -> DataFrame:
     return present(experiments.required_samples(d.usage_only, d.tickets))
+
+
+# --- text -----------------------------------------------------------------------------------------
+
+
+def _combined(d: Desk) -> DataFrame:
+    """Cleaned name, category and body of every reply text."""
+    return texts.prepare_texts(d.reply_texts).select("macro_id", "cleaned_text")
+
+
+def _bodies(d: Desk) -> DataFrame:
+    return texts.prepare_bodies(d.reply_texts).select("macro_id", "cleaned_text")
+
+
+def _topic_model(d: Desk):
+    prepared = stage(_combined(d))
+    return prepared, texts.fit_macro_tfidf(prepared)
+
+
+@query
+def clean_text(d: Desk) -> DataFrame:
+    docs = spread(d.table("documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.md5(X.clean_text("text")).alias("digest"))
+
+
+@query
+def remove_boilerplate(d: Desk) -> DataFrame:
+    """Courtesy phrases put around real texts, then removed; and a caller's own pattern."""
+    docs = spread(d.table("documents").select("doc_id", "text"))
+    framed = F.concat(F.lit("Dear Customer,  "), "text", F.lit("  THANKS, Best regards"))
+    return docs.select(
+        "doc_id", F.md5(X.remove_boilerplate(framed)).alias("digest"),
+        F.md5(X.remove_boilerplate("text", [r"[0-9]+"])).alias("own_digest"),
+    )
+
+
+@query
+def title_case(d: Desk) -> DataFrame:
+    docs = spread(d.table("documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.md5(X.title_case("text")).alias("digest"))
+
+
+@query
+def macro_texts(d: Desk) -> DataFrame:
+    return _combined(d).select("macro_id", F.md5("cleaned_text").alias("digest"), F.length("cleaned_text").cast("long").alias("n_chars"))
+
+
+@query
+def tfidf_terms(d: Desk) -> DataFrame:
+    prepared, model = _topic_model(d)
+    return present(texts.tfidf_terms(model, prepared))
+
+
+@query
+def tfidf_apply(d: Desk) -> DataFrame:
+    """Vocabulary and weights of the documents reused on conversation turns."""
+    _, model = _topic_model(d)
+    turns = d.table("conversations").select(
+        F.concat_ws("-", "conv_id", "turn").alias("macro_id"), X.clean_text("text").alias("cleaned_text")
+    )
+    return present(texts.tfidf_terms(model, spread(turns)))
+
+
+@query
+def top_terms(d: Desk) -> DataFrame:
+    prepared, model = _topic_model(d)
+    return present(texts.top_terms(model, prepared))
+
+
+@query
+def tfidf_vectors(d: Desk) -> DataFrame:
+    """Non-zero entries and length of each vector handed to the clustering."""
+    prepared, model = _topic_model(d)
+    v = vector_to_array("features")
+    return present(
+        model.transform(prepared).select(
+            "macro_id", F.size(F.filter(v, lambda x: x > 0)).alias("n_terms"),
+            F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x).alias("length"),
+        )
+    )
+
+
+@query
+def cosine_pairs(d: Desk) -> DataFrame:
+    return present(similarity.cosine_pairs(_bodies(d)))
+
+
+@query
+def cosine_pairs_unigram(d: Desk) -> DataFrame:
+    raw = d.reply_texts.select("macro_id", F.lower(F.coalesce("macro_body", F.lit(""))).alias("cleaned_text"))
+    return present(similarity.cosine_pairs(raw, 0.5, ngrams=(1, 1)))
+
+
+def _redundant(d: Desk, threshold: float = 0.8) -> DataFrame:
+    return similarity.redundant_pairs(_bodies(d), d.indexed, threshold)
+
+
+@query
+def redundant_pairs(d: Desk) -> DataFrame:
+    return present(similarity.sorted_pairs(_redundant(d)))
+
+
+@query
+def pairs_threshold(d: Desk) -> DataFrame:
+    return present(similarity.pairs_threshold(_redundant(d), 0.9), "macro_a", "macro_b", "similarity")
+
+
+@query
+def near_dup_approx(d: Desk) -> DataFrame:
+    """Candidates among distinct texts only, verified exactly: the scale form of the redundant pairs."""
+    return present(similarity.cosine_pairs(_combined(d), 0.95), "macro_a", "macro_b", "n_pairs")
+
+
+@query
+def similarity_edges(d: Desk) -> DataFrame:
+    return present(similarity.similarity_edges(_redundant(d)))
+
+
+@query
+def similarity_stats(d: Desk) -> DataFrame:
+    return present(similarity.similarity_stats(stage(similarity.similarity_counts(_bodies(d)))))
+
+
+@query
+def histogram_sim(d: Desk) -> DataFrame:
+    return present(similarity.similarity_histogram(stage(similarity.similarity_counts(_bodies(d)))))
+
+
+@query
+def similarity_sample(d: Desk) -> DataFrame:
+    return present(similarity.similarity_sample(_bodies(d)))
+
+
+@query
+def tier_summary(d: Desk) -> DataFrame:
+    pairs = stage(_redundant(d))
+    return reports.tier_summary(d.indexed, pairs).withColumn("redundant_pairs", F.col("redundant_pairs").cast("long"))
+
+
+# --- topics ----------------------------------------------------------------------------------------
+
+
+def _topics(d: Desk):
+    prepared, model = _topic_model(d)
+    vectors = stage(model.transform(prepared).select("macro_id", "features"))
+    return prepared, model, vectors, topics.fit_kmeans(vectors)
+
+
+@query
+def kmeans_topics(d: Desk) -> DataFrame:
+    _, _, vectors, clusters = _topics(d)
+    return present(topics.assign_topics(clusters, vectors), "macro_id", "cluster_id")
+
+
+@query
+def cluster_labels(d: Desk) -> DataFrame:
+    """Labels of fixed groups: the source of each text stands for its cluster."""
+    prepared, model = _topic_model(d)
+    members = d.reply_texts.select("macro_id", F.col("source").alias("cluster_id"))
+    return topics.cluster_labels(texts.tfidf_terms(model, prepared), members)
+
+
+@query
+def cluster_macros(d: Desk) -> DataFrame:
+    """Topic clusters of the reply texts with labels, scores and categories."""
+    prepared, model, vectors, clusters = _topics(d)
+    weights = texts.tfidf_terms(model, prepared)
+    return present(
+        topics.cluster_macros(d.categorized, vectors, weights, clusters), "macro_id", "cluster_id", "cluster_label",
+        "macro_effectiveness_index", "macro_category",
+    )
+
+
+@query
+def sink_model(d: Desk) -> DataFrame:
+    """Saved models assign the same topics after loading."""
+    prepared, model, vectors, clusters = _topics(d)
+    path = topics.save_models(work_folder(d.spark, "models"), model, clusters)
+    again = topics.load_models(path).transform(model.with_terms(prepared)).select("macro_id", F.col("cluster_id").alias("c"))
+    both = topics.assign_topics(clusters, vectors).join(again, "macro_id")
+    return both.groupBy("cluster_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("c") == F.col("cluster_id")).alias("n_same")
+    ).select(F.col("cluster_id").cast("long").alias("cluster_id"), "n", "n_same")
+
+
+def _embeddings(d: Desk) -> DataFrame:
+    e = d.table("embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"), "label")
+    return e.withColumn("features", array_to_vector("v"))
+
+
+@query
+def elbow_sweep(d: Desk) -> DataFrame:
+    return present(topics.elbow_sweep(stage(_embeddings(d)), "vec_id", restarts=1))
+
+
+@query
+def silhouette(d: Desk) -> DataFrame:
+    points = _embeddings(d).select("vec_id", "v", F.array("label").alias("l"))
+    return present(topics.silhouettes(points, "vec_id", "v", "l"), "vec_id", "cluster", "silhouette")
+
+
+@query
+def silhouette_by_cluster(d: Desk) -> DataFrame:
+    points = _embeddings(d).select("vec_id", "v", F.array("label").alias("l"))
+    return present(topics.silhouette_by_cluster(stage(topics.silhouettes(points, "vec_id", "v", "l"))))
+
+
+@query
+def pca_2d(d: Desk) -> DataFrame:
+    projected, _, _ = topics.pca_2d(stage(_embeddings(d)), "vec_id")
+    return present(projected)
+
+
+# --- prediction ---------------------------------------------------------------------------------------
+
+
+@query
+def predictor_training_set(d: Desk) -> DataFrame:
+    ticket_texts = d.table("documents").select(F.col("doc_id").alias("ticket_id"), "text")
+    chosen = predict.training_set(ticket_texts, d.usage_only, d.indexed)
+    return chosen.select("ticket_id", "macro_id", F.md5("text").alias("digest"))
+
+
+def _labelled(d: Desk) -> DataFrame:
+    """Document texts with their source standing for the macro that answered them."""
+    return spread(
+        d.table("documents").select(F.col("doc_id").alias("ticket_id"), "text", F.col("source").alias("macro_id"))
+    )
+
+
+@query
+def predictor_fit(d: Desk) -> DataFrame:
+    """Most important terms of the fitted forest."""
+    model, _ = predict.fit_predictor(_labelled(d))
+    weights = model.forest.featureImportances.toArray().tolist()
+    rows = [(t, float(w)) for t, w in zip(model.tfidf.terms, weights)]
+    terms = d.spark.createDataFrame(rows, "term string, importance double")
+    return present(terms.orderBy(F.desc("importance"), "term").limit(20))
+
+
+@query
+def predictor_metrics(d: Desk) -> DataFrame:
+    model, held_out = predict.fit_predictor(_labelled(d))
+    return present(model.evaluate(held_out))
+
+
+@query
+def predict_batch(d: Desk) -> DataFrame:
+    model, _ = predict.fit_predictor(_labelled(d))
+    return present(model.predict_batch(_labelled(d)))
+
+
+@query
+def topn_per_ticket(d: Desk) -> DataFrame:
+    """Five best labels per conversation turn."""
+    model, _ = predict.fit_predictor(_labelled(d))
+    turns = d.table("conversations").select(F.concat_ws("-", "conv_id", "turn").alias("ticket_id"), "text")
+    return present(model.predict_batch(turns, top_n=5))
+
+
+# --- sources, sinks and the batch job --------------------------------------------------------------------
+
+
+@query
+def src_csv(d: Desk) -> DataFrame:
+    """Tickets written as CSV and read back with the declared schema."""
+    columns = [f.name for f in TICKETS if f.name in d.tickets.columns]
+    folder = work_folder(d.spark, "tickets_csv")
+    write_table(d.tickets.select(*columns), folder, "csv")
+    schema = T.StructType([f for f in TICKETS if f.name in columns])
+    return present(read_csv(d.spark, folder, schema))
+
+
+@query
+def sink_table(d: Desk) -> DataFrame:
+    """Macro uses partitioned by month and read back for one year: other months are pruned."""
+    month = F.date_format("applied_at", "yyyy-MM")
+    folder = write_table(
+        d.usage_only.withColumn("month", month).repartition("month"), work_folder(d.spark, "usage"), partition_by=["month"]
+    )
+    year = read_parquet(d.spark, folder).where(F.col("month").between("1997-01", "1997-12"))
+    return year.groupBy("month").agg(F.count(F.lit(1)).alias("n_uses")).select(F.col("month").cast("string").alias("month"), "n_uses")
+
+
+@query
+def sink_multi(d: Desk) -> DataFrame:
+    """Row counts of the export tables after writing and reading them."""
+    tables = reports.export_bundle(d.indexed, d.ticket_features, trends.daily_metrics(d.ticket_features))
+    return _written(d, tables, "bundle", "parquet")
+
+
+@query
+def sink_csv_exports(d: Desk) -> DataFrame:
+    return _written(d, reports.csv_exports(d.indexed), "exports", "csv")
+
+
+def _written(d: Desk, tables: dict[str, DataFrame], name: str, fmt: str) -> DataFrame:
+    paths = write_bundle(tables, work_folder(d.spark, name), fmt)
+    read = d.spark.read.option("header", True).option("escape", '"') if fmt == "csv" else d.spark.read
+    counts = None
+    for table, path in paths.items():
+        n = read.format(fmt).load(path).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(table).alias("table_name"), "n_rows"
+        )
+        counts = n if counts is None else counts.unionByName(n)
+    return counts
+
+
+@query
+def job_all(d: Desk) -> DataFrame:
+    """The whole batch on the mapped tables; row counts of what it wrote."""
+    from replyscope.plans.job import run
+
+    out = run(d.tickets, d.macros, d.usage_only, work_folder(d.spark, "job"), restarts=1)
+    counts = None
+    for table, path in out.items():
+        n = d.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(table).alias("table_name"), "n_rows"
+        )
+        counts = n if counts is None else counts.unionByName(n)
+    return counts

@@ -8,6 +8,8 @@ after it, so replies without any or with few uses exist while no line is dropped
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from replyscope.sources.tables import spread
+
 TICKETS = {
     "ticket_id": "o_orderkey",
     "created_at": "o_orderdate",
@@ -112,7 +114,7 @@ class Library:
     @property
     def reply_texts(self) -> DataFrame:
         """Canned replies whose bodies are the document texts, named and grouped like parts."""
-        docs = self.table("documents").select("doc_id", "text", "source")
+        docs = spread(self.table("documents").select("doc_id", "text", "source"))
         part = self.table("part").select("p_partkey", "p_name", "p_type")
         return docs.join(part, F.col("doc_id") == F.col("p_partkey"), "left").select(
             F.col("doc_id").alias("macro_id"),

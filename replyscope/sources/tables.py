@@ -1,8 +1,8 @@
 """Table readers and writers."""
 
-import os
+import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -45,14 +45,41 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> str:
     return table
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Keep a result that several later steps read; lost blocks are recomputed from lineage."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def _checkpoint_folder(spark: SparkSession) -> None:
+    """Use the shared folder the session names; a folder of our own only in local mode without one."""
+    context = spark.sparkContext
+    if context.getCheckpointDir():
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        named = tempfile.mkdtemp(prefix="replyscope-")
+    context.setCheckpointDir(named)
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the checkpoint folder, so every executor can reach it."""
+    _checkpoint_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def write_bundle(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, str]:
+    """One directory per table."""
+    return {name: write_table(df, f"{folder}/{name}", fmt) for name, df in tables.items()}
 
 
-def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Checkpoint to the shared folder of the session; set one only where none is configured."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and fallback_dir:
-        spark.sparkContext.setCheckpointDir(os.path.abspath(fallback_dir))
+def stage(df: DataFrame) -> DataFrame:
+    """Compute a result that several later steps read, once, into the session's checkpoint folder.
+
+    The files outlive lost executors, and later plans start from a leaf instead of repeating
+    everything before it.
+    """
+    _checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when a costly step would start from fewer input splits than that."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
