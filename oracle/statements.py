@@ -562,9 +562,13 @@ def pooled(m: str) -> str:
     return (f"sqrt(((a.n - 1) * a.{m}_std * a.{m}_std + (b.n - 1) * b.{m}_std * b.{m}_std) / (a.n + b.n - 2))")
 
 
+def t_exact(m: str) -> str:
+    return f"(a.{m}_mean - b.{m}_mean) / nullif({pooled(m)} * sqrt(1.0E0 / a.n + 1.0E0 / b.n), 0)"
+
+
 def t_columns(m: str) -> str:
     diff = f"(a.{m}_mean - b.{m}_mean)"
-    return (f"{r(f'{diff} / nullif({pooled(m)} * sqrt(1.0E0 / a.n + 1.0E0 / b.n), 0)')} AS {m}_t_stat, "
+    return (f"{r(t_exact(m))} AS {m}_t_stat, "
             f"{r(f'CASE WHEN {pooled(m)} > 0 THEN {diff} / {pooled(m)} ELSE 0 END')} AS {m}_effect_size")
 
 
