@@ -24,7 +24,7 @@ def plain(e: str, patterns: list[str] = PHRASES) -> str:
 
 def title(e: str) -> str:
     return (f"array_to_string(list_transform(regexp_extract_all({e}, '\\p{{L}}+|[^\\p{{L}}]+'), "
-            "lambda x: upper(x[1]) || lower(x[2:])), '')")
+            "lambda x: CASE x[1] WHEN 'ß' THEN 'Ss' ELSE upper(x[1]) END || lower(x[2:])), '')")
 
 
 def token_list(e: str) -> str:

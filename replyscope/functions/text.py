@@ -68,7 +68,10 @@ def title_case(c) -> Column:
 
 
 def _title_run(run: Column) -> Column:
-    return F.concat(F.upper(run.substr(1, 1)), F.lower(run.substr(F.lit(2), F.length(run))))
+    # The capital of one letter may be several (sharp s): only the first of them stays upper case.
+    capital = F.upper(run.substr(1, 1))
+    tail = F.lower(capital.substr(F.lit(2), F.length(capital)))
+    return F.concat(capital.substr(1, 1), tail, F.lower(run.substr(F.lit(2), F.length(run))))
 
 
 def tokens(c, stop_words: list[str] | None = None) -> Column:
