@@ -65,7 +65,6 @@ def macro_features(usage: DataFrame, tickets: DataFrame, macros: DataFrame, medi
     ]
     if medians:
         aggs += [
-            F.percentile("csat_score", 0.5).alias("median_csat"),
             F.countDistinct("agent_id").alias("unique_agents"),
             F.countDistinct("contact_driver").alias("unique_drivers"),
         ]
@@ -75,7 +74,9 @@ def macro_features(usage: DataFrame, tickets: DataFrame, macros: DataFrame, medi
         median = grouped_quantile(
             outcomes, ["macro_id"], "total_handle_time_minutes", 0.5, "median_handle_time", source=tickets
         )
-        features = features.join(median, "macro_id", "left")
+        # Apart from the distinct counts, whose row expansion would carry the percentile buffers along.
+        ratings = outcomes.groupBy("macro_id").agg(F.percentile("csat_score", 0.5).alias("median_csat"))
+        features = features.join(ratings, "macro_id", "left").join(median, "macro_id", "left")
         numbers += ["median_csat", "median_handle_time", "unique_agents", "unique_drivers"]
     return macros.join(features, "macro_id", "left").withColumns(
         {c: F.coalesce(F.col(c), F.lit(0)) for c in numbers}

@@ -10,23 +10,34 @@ The collapsed counts are read several times and therefore kept.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from replyscope.functions.columns import col, scalar
+from replyscope.functions.columns import col
 from replyscope.sources.tables import stage
 
 BUCKETS = 128
 _BORDERS = [i / BUCKETS for i in range(1, BUCKETS)]
 
 
-def range_borders(df: DataFrame, value: str) -> Column:
-    """Scalar array of range borders of a numeric column."""
-    sketch = df.agg(F.array_distinct(F.percentile_approx(value, _BORDERS, 2000)).alias("b"))
-    return scalar(sketch)["b"]
+def range_borders(df: DataFrame, value: str) -> list[float]:
+    """Range borders of a numeric column: at most ``BUCKETS - 1`` numbers, read once."""
+    row = df.agg(F.percentile_approx(value, _BORDERS, 2000).alias("b")).first()
+    return sorted({float(x) for x in row["b"] or []})
+
+
+def range_index(value, borders: list[float]) -> Column:
+    """Number of borders below the value, as a balanced tree of comparisons."""
+    v = col(value)
+
+    def branch(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(v > borders[middle], branch(middle + 1, high)).otherwise(branch(low, middle))
+
+    return branch(0, len(borders))
 
 
 def with_range(df: DataFrame, value: str, source: DataFrame, out: str = "_r") -> DataFrame:
-    """Number of borders below the value; the borders are read once as a scalar."""
-    bordered = df.withColumn("_b", F.coalesce(range_borders(source, value), F.array().cast("array<double>")))
-    return bordered.withColumn(out, F.size(F.filter("_b", lambda b: b < col(value)))).drop("_b")
+    return df.withColumn(out, range_index(value, range_borders(source, value)))
 
 
 def running_counts(

@@ -82,7 +82,9 @@ def category_trends(usage: DataFrame, macros: DataFrame) -> DataFrame:
 def usage_trend(usage: DataFrame, scores: DataFrame, weeks: list[str] | None = None) -> DataFrame:
     """Last two observed weeks against the two before, per used macro; optional wide week columns."""
     weekly = weekly_macro_usage(usage).where(F.col("week").isNotNull())
-    observed = weekly.select("week").distinct().orderBy(F.desc("week")).limit(4)
+    # Read from the dates alone: the weekly counts need not be computed twice.
+    labels = usage.select(week_label("applied_at").alias("week")).where(F.col("week").isNotNull())
+    observed = labels.distinct().orderBy(F.desc("week")).limit(4)
     recent = F.col("_w.weeks")
     four = observed.agg(F.sort_array(F.collect_list("week"), asc=False).alias("weeks"))
     marked = with_scalar(weekly, four, "_w")
