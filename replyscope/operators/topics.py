@@ -35,7 +35,9 @@ def fit_kmeans(
 
     with ThreadPoolExecutor(max(1, min(parallelism, restarts))) as pool:
         fitted = list(pool.map(fit, range(seed, seed + restarts)))
-    return min(fitted, key=lambda m: m.summary.trainingCost)
+    # Starts often end in the same optimum under other numbers: sums that differ only by their order
+    # must not choose between them, so nine digits decide and then the earlier seed.
+    return min(fitted, key=lambda m: float(f"{m.summary.trainingCost:.8e}"))
 
 
 def assign_topics(model: KMeansModel, vectors: DataFrame) -> DataFrame:

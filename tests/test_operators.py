@@ -160,7 +160,7 @@ def test_rollup_and_crosstab(scored):
     df = scored.withColumn("cluster_label", F.lit("x"))
     total = reports.rollup_hierarchy(df).where("grouping_id = 7").first()
     assert total.total_usage == 158
-    assert rows(reports.crosstab_heatmap(df)) == [("billing", 2, 2, 1)]
+    assert rows(reports.crosstab_heatmap(df)) == [("billing", 3, 1, 1)]
 
 
 def test_cluster_summary_flag(spark):
