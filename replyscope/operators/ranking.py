@@ -9,6 +9,7 @@ The collapsed counts are read several times and therefore kept.
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from replyscope.functions.columns import col
 from replyscope.sources.tables import stage
@@ -141,8 +142,19 @@ def grouped_quantile(
 
 
 def number_rows(df: DataFrame, value: str, tie: str, out: str) -> DataFrame:
-    """Dense numbering 1..n by value descending, then tie column ascending."""
-    ranged = with_range(df, value, df).withColumn("_r", -F.col("_r"))
+    """Dense numbering 1..n by value descending, then tie column ascending.
+
+    A frequent value is itself a range border; its rows come first in their range and are cut further
+    by a numeric tie column, so that not even one value held by a third of the rows stays in one task.
+    """
+    borders = range_borders(df, value)
+    numeric = isinstance(df.schema[tie].dataType, T.NumericType)
+    tie_borders = range_borders(df, tie) if numeric and borders else []
+    parts = len(tie_borders) + 2
+    part = F.lit(parts - 1)
+    if borders:
+        part = F.when(F.col(value).isin(borders), range_index(tie, tie_borders)).otherwise(part)
+    ranged = df.withColumn("_r", part - range_index(value, borders) * parts)
     totals = _range_totals(ranged.withColumn("_one", F.lit(1)), [], "_one").select("_r", "_off")
     inside = Window.partitionBy("_r").orderBy(F.col(value).desc(), F.col(tie))
     return (
