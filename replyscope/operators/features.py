@@ -40,16 +40,6 @@ def usage_outcomes(usage: DataFrame, tickets: DataFrame, columns: list[str] | No
     return uses.join(tickets.select(*keep), "ticket_id", "left")
 
 
-def macro_usage_metrics(usage: DataFrame, tickets: DataFrame) -> DataFrame:
-    """Mean outcomes per used macro."""
-    return usage_outcomes(usage, tickets).groupBy("macro_id").agg(
-        F.count("ticket_id").alias("usage_count"),
-        F.avg("csat_score").alias("avg_csat"),
-        F.avg("total_handle_time_minutes").alias("avg_handle_time"),
-        rate(F.col("reopens_count") > 0).alias("reopen_rate"),
-    )
-
-
 def macro_features(usage: DataFrame, tickets: DataFrame, macros: DataFrame, medians: bool = True) -> DataFrame:
     """All macros with their use counts and mean/median outcomes; unused macros carry zeros.
 

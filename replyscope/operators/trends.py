@@ -61,9 +61,10 @@ def anomaly_flags(daily: DataFrame, std_threshold: float = 2.0) -> DataFrame:
 
 
 def weekly_macro_usage(usage: DataFrame) -> DataFrame:
-    return usage.groupBy(week_label("applied_at").alias("week"), "macro_id").agg(
-        F.count("ticket_id").alias("usage_count")
-    )
+    """Uses per week and macro, grouped by the Monday; the label is written once per group."""
+    monday = F.to_date(F.date_trunc("week", "applied_at"))
+    counted = usage.groupBy(monday.alias("_m"), "macro_id").agg(F.count("ticket_id").alias("usage_count"))
+    return counted.select(week_label("_m").alias("week"), "macro_id", "usage_count")
 
 
 def category_trends(usage: DataFrame, macros: DataFrame) -> DataFrame:
@@ -83,8 +84,8 @@ def usage_trend(usage: DataFrame, scores: DataFrame, weeks: list[str] | None = N
     """Last two observed weeks against the two before, per used macro; optional wide week columns."""
     weekly = weekly_macro_usage(usage).where(F.col("week").isNotNull())
     # Read from the dates alone: the weekly counts need not be computed twice.
-    labels = usage.select(week_label("applied_at").alias("week")).where(F.col("week").isNotNull())
-    observed = labels.distinct().orderBy(F.desc("week")).limit(4)
+    mondays = usage.select(F.to_date(F.date_trunc("week", "applied_at")).alias("_m")).where(F.col("_m").isNotNull())
+    observed = mondays.distinct().orderBy(F.desc("_m")).limit(4).select(week_label("_m").alias("week"))
     recent = F.col("_w.weeks")
     four = observed.agg(F.sort_array(F.collect_list("week"), asc=False).alias("weeks"))
     marked = with_scalar(weekly, four, "_w")
