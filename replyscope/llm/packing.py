@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replyscope.llm.common import map_rows, numbered
+from replyscope.llm.common import keep, map_rows, numbered
 from replyscope.llm.encoding import default_tokenizer, encoder
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -53,7 +53,7 @@ def pack(
     """
     if longest & (longest - 1) or longest < 1:
         raise ValueError("longest must be a power of two")
-    cut = pieces(docs, tokenizer or default_tokenizer(), longest, end_id, with_ids).withColumn("_down", -F.col("length"))
+    cut = keep(pieces(docs, tokenizer or default_tokenizer(), longest, end_id, with_ids), "pieces").withColumn("_down", -F.col("length"))
     rows = numbered(cut, [], ["_down", "doc_id", "start"], "sequence_id")
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"]
     return rows.select(*names, F.lit(0).cast("long").alias("offset"), *(["ids"] if with_ids else []))
