@@ -228,9 +228,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, pivot_ro
     repeated rows all or none are kept. A null doc_id gets the smallest id of its component, else null, and is kept
     only if that is null. Other columns are ignored; an empty table gives no rows.
     """
-    found = keep(
-        keep(features(docs, width), "features").withColumn("uid", F.monotonically_increasing_id()), "features"
-    )
+    found = keep(features(docs, width).withColumn("uid", F.monotonically_increasing_id()), "features")
     worded = found.where("n_shingles > 0")
     classes = keep(worded.groupBy("digest").agg(F.min("uid").alias("node")), "classes")
     heads = keep(
@@ -248,6 +246,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, pivot_ro
     labels = _joined(None, keep(confirm(pairs, sets, percent), "links"))
     rest = keep(labelled(members, labels), "open-members")
     for k in range(pivot_rounds):
+        if not rest.take(1):
+            break
         pick = F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("order"), "node", "label"))
         pivots = keep(rest.groupBy("key").agg(pick.alias("p")).select("key", "p.node", "p.label"), "pivots")
         against = rest.join(pivots.select("key", F.col("node").alias("a"), F.col("label").alias("la")), "key")
@@ -256,7 +256,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, pivot_ro
         named = _relabel(links, labels)
         labels = _joined(labels, named)
         rest = keep(labelled(members.join(rest.select("key").distinct(), "key", "left_semi"), labels), "open-members")
-    labels = _joined(labels, keep(block_links(rest, sets, percent), "links"))
+    if rest.take(1):
+        labels = _joined(labels, keep(block_links(rest, sets, percent), "links"))
 
     placed = found.join(classes, "digest", "left").join(labels, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "node", F.col("uid")).alias("label")
