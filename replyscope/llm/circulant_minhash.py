@@ -20,6 +20,16 @@ WORDS_KEPT = 1_000_000
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
+class WordHashes(dict):
+    """64-bit hashes of words seen before, bounded."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 class Shingler:
     """Sets of hashed word shingles, their digests, signatures and band keys."""
 
@@ -30,15 +40,10 @@ class Shingler:
         second = random.permutation(UNIVERSE).astype("i4")
         circle = np.concatenate([second, second[:COORDINATES]])
         self.shifted = np.lib.stride_tricks.sliding_window_view(circle, COORDINATES)
-        self.words: dict[bytes, int] = {}
+        self.words = WordHashes()
 
     def hashes(self, words: list[bytes]) -> np.ndarray:
-        known = self.words
-        if len(known) > WORDS_KEPT:
-            known.clear()
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), dtype="u8", count=len(words))
+        return np.fromiter(map(self.words.__getitem__, words), dtype="u8", count=len(words))
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct shingles; the whole sequence as one if it is shorter; empty without words."""
