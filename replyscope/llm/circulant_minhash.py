@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replyscope.llm.common import components, keep, map_rows
+from replyscope.llm.common import components, keep, map_rows, small_batches
 
 #: Universe that shingles are hashed into, coordinates, bands. At a similarity of 0.8 a pair shares none of the
 #: 32 bands of 4 coordinates with probability 5e-8.
@@ -180,10 +180,10 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     probes = told.where("label <> main").select("key", "node", "label", every("n").alias("i"), deal("m").alias("j"), F.lit(True).alias("probe"))
     cells = base.unionByName(probes).join(sets, "node")
 
-    def compare(rows):
-        import pandas as pd
-
-        base, probe = rows[~rows["probe"]], rows[rows["probe"]]
+    def compare(cell):
+        base, probes = [r for r in cell if not r[0]], [r for r in cell if r[0]]
+        if not base or not probes:
+            return
         links: dict[int, int] = {}
 
         def root(x):
@@ -191,20 +191,41 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 x = links[x]
             return x
 
-        out = []
-        if len(base) and len(probe):
-            sig = np.frombuffer(b"".join(base["sig"]), "u1").reshape(len(base), -1)
-            n, labels, sets_ = base["n"].to_numpy(), base["label"].to_numpy(), base["set"].tolist()
-            for label, size, mine, found in zip(probe["label"], probe["n"], probe["sig"], probe["set"]):
-                near = (sig == np.frombuffer(mine, "u1")).sum(axis=1) >= LEAST_EQUAL
-                near &= (labels != label) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
-                for k in np.flatnonzero(near):
-                    if root(label) != root(labels[k]) and similar(found, sets_[k], percent):
-                        out.append((label, labels[k]))
-                        links[root(label)] = root(labels[k])
-        return pd.DataFrame(out, columns=["a", "b"]).astype("i8")
-
-    return cells.groupBy("key", "i", "j").applyInPandas(compare, "a bigint, b bigint")
+        sig = np.frombuffer(b"".join(r[3] for r in base), "u1").reshape(len(base), -1)
+        n, labels = np.array([r[2] for r in base]), np.array([r[1] for r in base])
+        for _, label, size, mine, found in probes:
+            near = (sig == np.frombuffer(mine, "u1")).sum(axis=1) >= LEAST_EQUAL
+            near &= (labels != label) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+            for k in np.flatnonzero(near):
+                if root(label) != root(base[k][1]) and similar(found, base[k][4], percent):
+                    yield label, base[k][1]
+                    links[root(label)] = root(base[k][1])
+
+    def run(batches):
+        """Cells lie side by side in a task; one cell is held at a time."""
+        import pyarrow as pa
+
+        at, cell, out = None, [], []
+        for batch in batches:
+            places = zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j")))
+            rows = [batch.column(c).to_pylist() for c in ("probe", "label", "n", "sig")]
+            held = batch.column("set")
+            values, ends = held.values.to_numpy(), held.offsets.to_numpy()
+            for k, place in enumerate(places):
+                if place != at:
+                    out.extend(compare(cell))
+                    at, cell = place, []
+                cell.append((*(r[k] for r in rows), values[ends[k] : ends[k + 1]]))
+            yield links_of(pa, out)
+            out = []
+        yield links_of(pa, list(compare(cell)))
+
+    def links_of(pa, out):
+        return pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], type=pa.int64()) for c in (0, 1)], names=["a", "b"])
+
+    small_batches(members.sparkSession)
+    place = ["key", "i", "j"]
+    return cells.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, "a bigint, b bigint")
 
 
 def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -243,12 +264,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, pivot_ro
     )
     buckets = heads.select("node", F.explode("bands").alias("key"))
     shared = keep(buckets.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1"), "shared")
-    members = keep(buckets.join(shared, "key").select("key", "node", "pivot"), "members")
+    members = keep(buckets.join(shared, "key").select("key", "node", "size", "pivot"), "members")
     wanted = heads.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest", "home")
     sets = keep(candidate_sets(docs, wanted, width), "sets")
 
     pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     labels = _joined(None, keep(confirm(pairs, sets, percent), "links"))
+    members = members.where("size > 2")  # the only pair of a bucket of two is decided
     rest = keep(labelled(members, labels), "open-members")
     for k in range(pivot_rounds):
         if not rest.take(1):
