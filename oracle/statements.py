@@ -241,9 +241,12 @@ def average_rank(c: str, direction: str, over: str = "") -> str:
 STATEMENTS["rank_avg"] = statement("SELECT macro_id, " + ", ".join(
     f"{r(average_rank(c, d))} AS {c}_rank_{d}" for c in ("usage_count", "avg_csat") for d in ("asc", "desc")
 ) + " FROM macro_features", SCORED)
-STATEMENTS["rank_pct"] = statement(f"""SELECT t.ticket_id, {r('p')} AS csat_score_rank_pct FROM tickets t LEFT JOIN
+STATEMENTS["rank_pct"] = statement(f"""SELECT t.ticket_id, {r('p')} AS csat_score_rank_pct, {r('q')} AS total_handle_time_minutes_rank_pct
+ FROM tickets t LEFT JOIN
  (SELECT ticket_id, ({average_rank('csat_score', 'asc')}) / count(*) OVER () AS p FROM tickets
-  WHERE csat_score IS NOT NULL) k ON t.ticket_id = k.ticket_id""", [TICKETS])
+  WHERE csat_score IS NOT NULL) k ON t.ticket_id = k.ticket_id LEFT JOIN
+ (SELECT ticket_id, ({average_rank('total_handle_time_minutes', 'asc')}) / count(*) OVER () AS q FROM tickets
+  WHERE total_handle_time_minutes IS NOT NULL) h ON t.ticket_id = h.ticket_id""", [TICKETS])
 STATEMENTS["category_counts"] = statement(
     "SELECT macro_category, count(*) AS n_macros FROM categorized GROUP BY 1", SCORED)
 STATEMENTS["top_macros"] = statement(f"""SELECT macro_id, macro_name, category, {rr('macro_effectiveness_index')},

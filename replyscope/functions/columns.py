@@ -40,16 +40,17 @@ def count_where(condition: Column) -> Column:
 
 def safe_divide(numerator, denominator, default: float = 0.0) -> Column:
     n, d = col(numerator).cast("double"), col(denominator).cast("double")
-    return F.when(d.isNull() | (d == 0), F.lit(default)).otherwise(F.try_divide(n, d))
+    return F.when(d.isNull() | F.isnan(d) | (d == 0), F.lit(default)).otherwise(F.try_divide(n, d))
 
 
 def normalize_score(value, low, high, reverse: bool = False) -> Column:
-    """Min-max position on 0..100, clipped; 50 for an unknown value or an empty range."""
+    """Min-max position on 0..100, clipped; 50 for an unknown value (null or NaN) or an empty range."""
     v, lo, hi = col(value), col(low), col(high)
     share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(v - lo, hi - lo)))
     if reverse:
         share = F.lit(1.0) - share
-    return F.when(v.isNull() | lo.isNull() | (lo == hi), F.lit(50.0)).otherwise(share * 100.0)
+    unknown = v.isNull() | F.isnan(v.cast("double")) | lo.isNull() | F.isnan(lo.cast("double"))
+    return F.when(unknown | (lo == hi), F.lit(50.0)).otherwise(share * 100.0)
 
 
 def percentile_label(percentile) -> Column:

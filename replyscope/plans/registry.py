@@ -304,11 +304,12 @@ def rank_avg(d: Desk) -> DataFrame:
 
 @query
 def rank_pct(d: Desk) -> DataFrame:
-    """Ticket handle times: a fact-sized ranking with many ties."""
+    """Ticket ratings (five values) and handle times: a fact-sized ranking with many ties."""
     ranked = ranking.average_ranks(
-        d.tickets.select("ticket_id", "csat_score"), "ticket_id", ["csat_score"]
+        d.tickets.select("ticket_id", "csat_score", "total_handle_time_minutes"), "ticket_id",
+        ["csat_score", "total_handle_time_minutes"],
     )
-    return present(ranked, "ticket_id", "csat_score_rank_pct")
+    return present(ranked, "ticket_id", "csat_score_rank_pct", "total_handle_time_minutes_rank_pct")
 
 
 @query
@@ -881,7 +882,7 @@ def _embeddings(d: Desk) -> DataFrame:
 
 @query
 def elbow_sweep(d: Desk) -> DataFrame:
-    return present(topics.elbow_sweep(stage(_embeddings(d)), "vec_id", restarts=1))
+    return present(topics.elbow_sweep(stage(_embeddings(d)), "vec_id"))
 
 
 @query
@@ -1002,7 +1003,7 @@ def job_all(d: Desk) -> DataFrame:
     """The whole batch on the mapped tables; row counts of what it wrote."""
     from replyscope.plans.job import run
 
-    out = run(d.tickets, d.macros, d.usage_only, work_folder(d.spark, "job"), restarts=1)
+    out = run(d.tickets, d.macros, d.usage_only, work_folder(d.spark, "job"))
     counts = None
     for table, path in out.items():
         n = d.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).select(

@@ -3,23 +3,38 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from replyscope.schemas import TABLE_SCHEMAS
+from replyscope.schemas import REQUIRED_COLUMNS, TABLE_SCHEMAS
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with a header row; quoted fields may span lines. ``schema`` may name a known table."""
-    fields = TABLE_SCHEMAS[schema] if isinstance(schema, str) and schema in TABLE_SCHEMAS else schema
-    return (
-        spark.read.schema(fields)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    """CSV read by the names in its header, in any order. ``schema`` may name a known table.
+
+    Unknown columns are left out and missing ones are null; a known table without a required column raises
+    ValueError. Whole numbers may be written as 4.0; values that do not parse become null. Only quoted fields
+    of macros may span lines: such files cannot be split, so tables of facts are read line by line.
+    """
+    known = schema if isinstance(schema, str) and schema in TABLE_SCHEMAS else None
+    fields = TABLE_SCHEMAS[known] if known else schema
+    if isinstance(fields, str):
+        fields = spark.createDataFrame([], fields).schema
+    spans = known == "macros" or known is None and "macro_body" in fields.fieldNames()
+    raw = spark.read.options(header=True, multiLine=spans, quote='"', escape='"').csv(path)
+    missing = [c for c in REQUIRED_COLUMNS.get(known, []) if c not in raw.columns]
+    if missing:
+        raise ValueError(f"{known}: missing columns {missing}")
+
+    def value(field: T.StructField) -> Column:
+        if field.name not in raw.columns:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        text = F.col(f"`{field.name}`")
+        whole = isinstance(field.dataType, (T.IntegerType, T.LongType))
+        return (text.try_cast("double") if whole else text).try_cast(field.dataType).alias(field.name)
+
+    return raw.select(*[value(f) for f in fields])
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -39,12 +54,6 @@ def write_table(
     return path
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> str:
-    """Save as a bucketed table so that later joins on ``key`` need no shuffle of this side."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
-    return table
-
-
 def _checkpoint_folder(spark: SparkSession) -> None:
     """Use the shared folder the session names; a folder of our own only in local mode without one."""
     context = spark.sparkContext

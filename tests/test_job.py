@@ -37,3 +37,15 @@ def test_csv_keeps_quotes_and_lines(spark, tmp_path):
     schema = T.StructType([MACROS[c] for c in df.columns])
     row = read_csv(spark, path, schema).first()
     assert row.macro_name == 'He said "hi", twice' and row.macro_body == "line one\nline two"
+
+
+def test_csv_by_header_name(spark, tmp_path):
+    path = tmp_path / "macro_usage.csv"
+    path.write_text("macro_id,ticket_id,channel,position_in_thread,applied_at,agent_id\n"
+                    "M1,T1,email,2.0,2024-01-02 03:04:05,A1\nM2,T2,chat,,2024-01-03 00:00:00,A2\n")
+    rows = read_csv(spark, str(path), "macro_usage").orderBy("ticket_id").collect()
+    assert [(r.ticket_id, r.macro_id, r.position_in_thread, r.agent_id) for r in rows] == [
+        ("T1", "M1", 2, "A1"), ("T2", "M2", None, "A2")]
+    path.write_text("macro_id,ticket_id\nM1,T1\n")
+    with pytest.raises(ValueError):
+        read_csv(spark, str(path), "macro_usage")
