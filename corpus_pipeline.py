@@ -28,9 +28,12 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest doc_id."""
-    gone = circulant_minhash.near_duplicates(docs, width=5, percent=80).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """One row of each group of near-duplicates: the one with the smallest doc_id, of equal ids any one. Rows are told
+    apart by a number written with them, so ids that are null or repeat take no other row along."""
+    rows = keep(docs.withColumn("_near_row", F.monotonically_increasing_id()), "near-rows")
+    judged = circulant_minhash.near_duplicates(rows, width=5, percent=80, row_key="_near_row")
+    gone = judged.where("not kept").select("_near_row")
+    return rows.join(gone, "_near_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

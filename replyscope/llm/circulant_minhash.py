@@ -94,24 +94,30 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def features(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, band keys (null without words)."""
+def features(docs: DataFrame, width: int, row_key: str | None = None) -> DataFrame:
+    """doc_id, uid (the row key, else a number), n_shingles, digest of the set, band keys (null without words)."""
 
     def make():
         tool = shingler(width)
 
-        def row(doc_id, text):
+        def row(doc_id, uid, text):
             found = tool.shingles(text)
-            yield (doc_id, len(found), _digest(found), tool.bands(tool.signature(found)).tolist()) if len(found) else (doc_id, 0, None, None)
+            if len(found):
+                yield doc_id, uid, len(found), _digest(found), tool.bands(tool.signature(found)).tolist()
+            else:
+                yield doc_id, uid, 0, None, None
 
         return row
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_rows(narrow, make, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>", ["doc_id", "text"])
+    uid = F.col(f"`{row_key}`").cast("long") if row_key else F.monotonically_increasing_id()
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), uid.alias("uid"), F.col("text").cast("string").alias("text"))
+    schema = "doc_id bigint, uid bigint, n_shingles bigint, digest binary, bands array<bigint>"
+    return map_rows(narrow, make, schema, ["doc_id", "uid", "text"])
 
 
-def candidate_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node, n, sig (a byte of each coordinate), set: of the classes in ``wanted`` (node, digest, home: a doc_id)."""
+def candidate_sets(docs: DataFrame, wanted: DataFrame, width: int, row_key: str | None = None) -> DataFrame:
+    """node, n, sig (a byte of each coordinate), set: of the classes in ``wanted`` (node, digest, home: a row key, else
+    a doc_id)."""
 
     def make():
         tool = shingler(width)
@@ -123,7 +129,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
         return row
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("home"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col(f"`{row_key or 'doc_id'}`").cast("long").alias("home"), F.col("text").cast("string").alias("text"))
     same = F.col("home").eqNullSafe(F.col("at_home"))
     joined = texts.join(wanted.withColumnRenamed("home", "at_home"), same).select("node", "digest", "text")
     found = map_rows(joined, make, "node bigint, n bigint, sig binary, set array<bigint>", ["node", "digest", "text"])
@@ -239,7 +245,9 @@ def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return keep(known.unionByName(fresh), "labels")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, width: int = 5, percent: int = 80, pivot_rounds: int = PIVOT_ROUNDS, row_key: str | None = None
+) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest doc_id linked directly or not), kept.
 
     Documents are linked if their sets of distinct ``width``-word shingles have a Jaccard similarity of
@@ -253,20 +261,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, pivot_ro
     nothing. Rows that repeat a doc_id are rows of their own, linked by their texts; kept compares ids, so of exactly
     repeated rows all or none are kept. A null doc_id gets the smallest id of its component, else null, and is kept
     only if that is null. Other columns are ignored; an empty table gives no rows.
+
+    ``row_key`` names a column of distinct numbers, stored with ``docs``. It is then returned too, and exactly one row of
+    each component is kept: the one with the smallest doc_id (null last), then row key.
     """
-    found = keep(features(docs, width).withColumn("uid", F.monotonically_increasing_id()), "features")
+    found = keep(features(docs, width, row_key), "features")
     worded = found.where("n_shingles > 0")
     classes = keep(worded.groupBy("digest").agg(F.min("uid").alias("node")), "classes")
     heads = keep(
         worded.join(classes.select("node", F.col("digest").alias("d")), (F.col("uid") == F.col("node")) & (F.col("digest") == F.col("d")))
-        .select("node", "digest", F.col("doc_id").alias("home"), "bands"),
+        .select("node", "digest", F.col("uid" if row_key else "doc_id").alias("home"), "bands"),
         "heads",
     )
     buckets = heads.select("node", F.explode("bands").alias("key"))
     shared = keep(buckets.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1"), "shared")
     members = keep(buckets.join(shared, "key").select("key", "node", "size", "pivot"), "members")
     wanted = heads.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest", "home")
-    sets = keep(candidate_sets(docs, wanted, width), "sets")
+    sets = keep(candidate_sets(docs, wanted, width, row_key), "sets")
 
     pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     labels = _joined(None, keep(confirm(pairs, sets, percent), "links"))
@@ -287,9 +298,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, pivot_ro
         labels = _joined(labels, keep(block_links(rest, sets, percent), "links"))
 
     placed = found.join(classes, "digest", "left").join(labels, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "node", F.col("uid")).alias("label")
+        "doc_id", "uid", "n_shingles", F.coalesce("component", "node", F.col("uid")).alias("label")
     )
     placed = keep(placed, "placed")
+    if row_key:
+        first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("first")
+        heads = keep(placed.groupBy("label").agg(F.min("doc_id").alias("component_id"), first), "least")
+        return placed.join(heads, "label").select(
+            F.col("uid").alias(row_key), "doc_id", "n_shingles", "component_id", (F.col("uid") == F.col("first.uid")).alias("kept")
+        )
     least = keep(placed.groupBy("label").agg(F.min("doc_id").alias("component_id")), "least")
     same: Column = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull())
     return placed.join(least, "label").select("doc_id", "n_shingles", "component_id", same.alias("kept"))
