@@ -13,6 +13,9 @@ from replyscope.llm.common import components, keep, map_rows
 TREES, LEAF, SPILL, SAMPLE, CELL = 10, 256, 0.06, 16_000, 4_096
 #: Dense balls sought in the sample: most, and their least share of it.
 BALLS, BALL_SHARE = 64, 0.01
+#: Wide groups sought in the sample: most, and about so many vectors of the table within the linking angle of one; rows
+#: and columns of a block when such a group is compared wholly; vectors of a dense node that is not split further.
+WIDE_BALLS, WIDE, BLOCK, WHOLE = 1024, 600, 4_096, 2_048
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -53,14 +56,20 @@ class TreeTop:
         return [(cell, rows) for cell, rows in held.items() if len(rows)]
 
 
-def leaves(x: np.ndarray, random: np.random.Generator, spill: float, leaf: int) -> list[np.ndarray]:
-    """Row numbers of the leaves below one cell; splits go by rank, so equal projections are parted too."""
+def leaves(x: np.ndarray, random: np.random.Generator, spill: float, leaf: int, near: float = 2.0) -> list[np.ndarray]:
+    """Row numbers of the leaves below one cell; splits go by rank, so equal projections are parted too. A node of at
+    most WHOLE rows in which some row has over an eighth of a leaf of others at a cosine of ``near`` is a leaf too."""
     out, todo = [], [np.arange(len(x))]
     while todo:
         rows = todo.pop()
         if len(rows) <= leaf:
             out.append(rows)
             continue
+        if near <= 1 and len(rows) <= WHOLE:
+            probes = x[rows[:: max(1, len(rows) // 64)]]
+            if ((probes @ x[rows].T) >= near).sum(axis=1).max() > leaf / 8:
+                out.append(rows)
+                continue
         order = rows[np.argsort(x[rows] @ random.standard_normal(x.shape[1]), kind="stable")]
         more, half = int(len(rows) * spill), len(rows) // 2
         todo += [order[: half + more], order[half - more :]]
@@ -83,6 +92,24 @@ def dense_balls(sample: np.ndarray, near: float) -> np.ndarray:
     return np.array(centres).reshape(-1, sample.shape[1])
 
 
+def wide_balls(sample: np.ndarray, cosine: float, least: int) -> np.ndarray:
+    """Centres of groups of which one member has at least ``least`` of the sample within the linking angle."""
+    some, centres = sample.astype("f4"), []
+
+    def count(a, b):
+        return np.concatenate([np.zeros(0, "i8"), *(((a[i : i + 500] @ b.T) >= cosine).sum(axis=1) for i in range(0, len(a), 500))])
+
+    counts = count(some, some)
+    while len(centres) < WIDE_BALLS and len(some) and counts.max() >= least:
+        k = int(np.argmax(counts))
+        centre = unit(some[(some @ some[k]) >= cosine].mean(axis=0))
+        gone = (some @ centre.astype("f4")) >= cosine
+        gone[k] = True
+        centres.append(centre)
+        counts, some = counts[~gone] - count(some[~gone], some[gone]), some[~gone]
+    return np.array(centres).reshape(-1, sample.shape[1])
+
+
 def _angle(x: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(x, -1.0, 1.0))
 
@@ -98,16 +125,22 @@ class _Links:
         if not rows:  # a hash may choose none of a few
             rows = reps.orderBy(F.xxhash64("node")).limit(SAMPLE).select("vec").collect()
         self.sample = _matrix([r.vec for r in rows])
+        near = math.cos(self.radius)
+        self.balls = dense_balls(self.sample, near)
+        apart = self.sample[(self.sample @ unit(self.balls).T).max(axis=1) < near] if len(self.balls) else self.sample
+        apart = apart[:SAMPLE]
+        self.wide = wide_balls(apart, cosine, max(8, math.ceil(WIDE * len(self.sample[:SAMPLE]) / max(n, 1))))
 
     def _levels(self, n: int) -> int:
         wanted = math.ceil(math.log2(max(n / CELL, 1)))
         return max(0, min(wanted, int(math.log2(max(len(self.sample) / 32, 1)))))
 
     def classes(self) -> DataFrame:
-        """node, class, angle to the class's centre, centre: sets of vectors within half the linking angle of one centre,
-        all linked with each other. Dense balls of the sample take their vectors without any comparison; the others
-        are grouped inside the leaves of one tree without spill."""
-        balls, near, radius = dense_balls(self.sample, math.cos(self.radius)), math.cos(self.radius), self.radius
+        """node, class, angle to the class's centre, centre, wide: sets of vectors within half the linking angle of one
+        centre, all linked with each other. Dense balls of the sample take their vectors without any comparison; the
+        others are grouped inside the leaves of one tree without spill. Vectors of a wide ball (wide: its number, else -1)
+        are classes of their own."""
+        balls, near, wide, cosine = self.balls, math.cos(self.radius), self.wide, self.cosine
         top = TreeTop(self.sample, self._levels(self.n), self.seed, 0.0)
 
         def place(batches):
@@ -125,7 +158,15 @@ class _Links:
                     inside = dots[np.arange(len(rows)), best] >= near
                     ball[inside] = best[inside]
                     angle[inside] = _angle(dots[np.arange(len(rows)), best])[inside]
-                yield pd.DataFrame({"node": rows["node"], "vec": rows["vec"], "copies": rows["copies"], "cell": cell, "ball": ball, "angle": angle})
+                group = np.full(len(rows), -1, dtype="i8")
+                if len(wide) and len(rows):
+                    dots = x @ wide.T
+                    best = dots.argmax(axis=1)
+                    inside = (ball < 0) & (dots[np.arange(len(rows)), best] >= cosine)
+                    group[inside] = best[inside]
+                yield pd.DataFrame({
+                    "node": rows["node"], "vec": rows["vec"], "copies": rows["copies"], "cell": cell, "ball": ball, "angle": angle, "wide": group,
+                })
 
         def group(rows):
             import pandas as pd
@@ -154,7 +195,7 @@ class _Links:
             return pd.DataFrame({"node": nodes, "class": nodes[home], "angle": angle, "centre": rows["vec"].to_numpy()[home]})
 
         placed = keep(
-            self.reps.mapInPandas(place, "node long, vec array<float>, copies long, cell long, ball long, angle double"), "placed"
+            self.reps.mapInPandas(place, "node long, vec array<float>, copies long, cell long, ball long, angle double, wide long"), "placed"
         )
         within = placed.where("ball >= 0")
         centres = self.reps.sparkSession.createDataFrame(
@@ -162,8 +203,88 @@ class _Links:
         )
         names = keep(within.groupBy("ball").agg(F.min("node").alias("class")), "balls").join(centres, "ball")
         dense = within.join(F.broadcast(names), "ball").select("node", "class", "angle", "centre")
-        loose = placed.where("ball < 0").groupBy("cell").applyInPandas(group, "node long, class long, angle double, centre array<float>")
-        return keep(dense.unionByName(loose), "classes")
+        loose = placed.where("ball < 0 and wide < 0").groupBy("cell").applyInPandas(group, "node long, class long, angle double, centre array<float>")
+        single = placed.where("wide >= 0").select("node", F.col("node").alias("class"), F.lit(0.0).alias("angle"), F.col("vec").alias("centre"), "wide")
+        grouped = dense.unionByName(loose).withColumn("wide", F.lit(-1).cast("long"))
+        return keep(grouped.unionByName(single), "classes")
+
+    def wide_links(self, heads: DataFrame) -> DataFrame:
+        """All links of the classes in wide balls, every pair compared once a side, in blocks spread over tasks; pairs of
+        single vectors never leave a block. kind 0: ``n`` more links of class ``a``; 1: ``a`` and ``b`` are connected;
+        2 and 3: the class ``b`` of more angles may hold links of ``a``, or is linked with it wholly.
+
+        A link of a member of a ball ends within twice the linking angle of its centre: such classes are the ball's columns.
+        """
+        wide, theta, cosine = self.wide, self.theta, self.cosine
+
+        def place(batches):
+            import pandas as pd
+
+            for rows in batches:
+                if not len(rows):
+                    continue
+                angle = _angle(_matrix(rows["centre"]) @ wide.T)
+                home = rows["wide"].to_numpy()
+                for ball in range(len(wide)):
+                    column = angle[:, ball] <= 2 * theta + rows["radius"].to_numpy() + 1e-6
+                    for probe, held in ((True, home == ball), (False, column)):
+                        if held.any():
+                            yield rows[held].assign(ball=ball, probe=probe)[["ball", "probe", "class", "centre", "radius", "size", "wide"]]
+
+        def compare(rows):
+            import pandas as pd
+
+            one, two = rows[rows["probe"]], rows[~rows["probe"]]
+            out = {k: [] for k in ("kind", "a", "b", "n")}
+
+            def tell(kind, a, b, n):
+                for k, v in zip(out, (np.full(len(a), kind), a, b, n)):
+                    out[k].append(np.asarray(v, dtype="i8"))
+
+            if len(one) and len(two):
+                x, y, a, b = _matrix(one["centre"]), _matrix(two["centre"]), one["class"].to_numpy(), two["class"].to_numpy()
+                radius, copies, weight = two["radius"].to_numpy(), one["size"].to_numpy(), two["size"].to_numpy()
+                flat, joined = np.flatnonzero(radius == 0), np.flatnonzero(radius > 0)
+                component = np.arange(len(flat))
+                back = np.zeros(len(flat), dtype="i8")
+                for at in range(0, len(x), 256):
+                    part = slice(at, at + 256)
+                    dots = x[part] @ y.T
+                    link = (dots[:, flat] >= cosine) & (a[part][:, None] != b[flat][None, :])
+                    more = link.astype("f8") @ weight[flat].astype("f8")
+                    some = more > 0
+                    tell(0, a[part][some], a[part][some], more[some])
+                    back += (copies[part].astype("f8") @ link).astype("i8")
+                    for k in np.flatnonzero(some):
+                        met = component[link[k]]
+                        low = met.min()
+                        tell(1, [a[at + k]], [b[flat[low]]], [0])
+                        others = np.unique(met[met != low])
+                        if len(others):
+                            tell(1, np.full(len(others), b[flat[low]]), b[flat[others]], np.zeros(len(others)))
+                            component[np.isin(component, others)] = low
+                    if len(joined):
+                        angle = _angle(dots[:, joined])
+                        for i, j in zip(*np.nonzero(angle <= theta + radius[joined] + 1e-9)):
+                            sure = angle[i, j] + radius[joined[j]] <= theta - 1e-9
+                            tell(3 if sure else 2, [a[at + i]], [b[joined[j]]], [0])
+                guests = (back > 0) & (two["wide"].to_numpy()[flat] < 0)  # members of a ball count for themselves
+                tell(0, b[flat][guests], b[flat][guests], back[guests])
+            return pd.DataFrame({k: np.concatenate([np.zeros(0, "i8"), *v]) for k, v in out.items()})
+
+        dealt = keep(
+            heads.mapInPandas(place, "ball long, probe boolean, class long, centre array<float>, radius double, size long, wide long"), "wide"
+        )
+        sizes = dealt.groupBy("ball").agg(
+            F.ceil(F.count_if("probe") / BLOCK).cast("int").alias("n"), F.ceil(F.count_if(~F.col("probe")) / BLOCK).cast("int").alias("m")
+        ).where("n > 0")
+        told = dealt.join(F.broadcast(sizes), "ball")
+        deal = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        rows = told.where("probe").select(*dealt.columns, deal("n").alias("i"), every("m").alias("j"))
+        columns = told.where("not probe").select(*dealt.columns, every("n").alias("i"), deal("m").alias("j"))
+        blocks = rows.unionByName(columns).groupBy("ball", "i", "j")
+        return keep(blocks.applyInPandas(compare, "kind long, a long, b long, n long"), "wide-links")
 
     def class_pairs(self, heads: DataFrame, n: int) -> DataFrame:
         """Pairs of classes (a < b) that are linked wholly (sure) or may hold links, found in common leaves."""
@@ -186,18 +307,18 @@ class _Links:
             rows = rows.sort_values("class")
             x, names, radius = _matrix(rows["centre"]), rows["class"].to_numpy(), rows["radius"].to_numpy()
             random = np.random.default_rng([seed, int(rows["tree"].iloc[0]), int(rows["cell"].iloc[0])])
-            found = set()
-            for held in leaves(x, random, SPILL, LEAF):
+            found = []
+            for held in leaves(x, random, SPILL, LEAF, cosine):
                 dots = x[held] @ x[held].T
                 reach = radius[held][:, None] + radius[held][None, :]
                 single = reach == 0
                 close = np.where(single, dots >= cosine, dots >= np.cos(np.minimum(theta + reach + 1e-9, np.pi)))
-                for i, j in zip(*np.nonzero(np.triu(close, 1))):
-                    sure = bool(single[i, j]) or bool(_angle(dots[i, j]) + reach[i, j] <= theta - 1e-9)
-                    a, b = names[held[i]], names[held[j]]
-                    if a != b:
-                        found.add((min(a, b), max(a, b), sure))
-            return pd.DataFrame(sorted(found), columns=["a", "b", "sure"]).astype({"a": "i8", "b": "i8", "sure": bool})
+                i, j = np.nonzero(np.triu(close, 1))
+                sure = single[i, j] | (_angle(dots[i, j]) + reach[i, j] <= theta - 1e-9)
+                a, b = names[held[i]], names[held[j]]
+                told = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "sure": sure})
+                found.append(told[told["a"] != told["b"]])
+            return pd.concat(found).groupby(["a", "b"], as_index=False)["sure"].max().astype({"a": "i8", "b": "i8", "sure": bool})
 
         dealt = heads.mapInPandas(place, "tree long, cell long, class long, centre array<float>, radius double")
         cells = dealt.groupBy("tree", "cell").applyInPandas(compare, "a long, b long, sure boolean")
@@ -209,14 +330,19 @@ class _Links:
         sized = classes.join(self.reps.select("node", "copies", "vec"), "node")
         members = keep(sized.select("node", "class", "angle", "copies", "vec"), "members")
         sizes = members.groupBy("class").agg(F.sum("copies").alias("size"), F.max("angle").alias("radius"))
-        heads = keep(sizes.join(classes.groupBy("class").agg(F.first("centre").alias("centre")), "class"), "heads")
-        pairs = self.class_pairs(heads, heads.count())
+        heads = keep(sizes.join(classes.groupBy("class").agg(F.first("centre").alias("centre"), F.first("wide").alias("wide")), "class"), "heads")
+        rest = heads.where("wide < 0")
+        pairs = self.class_pairs(rest, rest.count())
+        told = None
+        if len(self.wide):
+            told = self.wide_links(heads)
+            pairs = pairs.unionByName(told.where("kind >= 2").select("a", "b", (F.col("kind") == 3).alias("sure")))
         size = heads.select("class", "size")
         both = pairs.where("sure").select("a", "b").unionByName(pairs.where("sure").select(F.col("b").alias("a"), F.col("a").alias("b")))
-        whole = (
-            both.join(size.select(F.col("class").alias("b"), "size"), "b").groupBy("a").agg(F.sum("size").alias("more"))
-            .select(F.col("a").alias("class"), "more")
-        )
+        more = both.join(size.select(F.col("class").alias("b"), "size"), "b").select("a", F.col("size").alias("n"))
+        if told is not None:
+            more = more.unionByName(told.where("kind = 0").select("a", "n"))
+        whole = more.groupBy("a").agg(F.sum("n").alias("more")).select(F.col("a").alias("class"), "more")
         side = members.select("class", "node", "copies", F.col("vec").cast("array<double>").alias("vec"))
         one = side.select(F.col("class").alias("a"), F.col("node").alias("m"), F.col("copies").alias("cm"), F.col("vec").alias("x"))
         two = side.select(F.col("class").alias("b"), F.col("node").alias("k"), F.col("copies").alias("ck"), F.col("vec").alias("y"))
@@ -229,7 +355,8 @@ class _Links:
         apart = single.select(F.col("m").alias("node"), F.col("ck").alias("n")).unionByName(
             single.select(F.col("k").alias("node"), F.col("cm").alias("n"))
         ).groupBy("node").agg(F.sum("n").alias("apart"))
-        labels = components(pairs.where("sure").select("a", "b").unionByName(single.select("a", "b").distinct()))
+        met = pairs.where("sure").select("a", "b").unionByName(single.select("a", "b").distinct())
+        labels = components(met if told is None else met.unionByName(told.where("kind = 1").select("a", "b")))
         labels = keep(labels.select(F.col("node").alias("class"), "component"), "labels")
         return (
             members.select("node", "class").join(size, "class").join(whole, "class", "left").join(labels, "class", "left")
@@ -250,7 +377,9 @@ def near_duplicate_vectors(
     taken together first. Vectors within half the linking angle of one centre form a class, all linked by the
     triangle rule, so large groups need no pairs. Class centres go down a forest of random-projection trees with
     spill; the tree tops are fitted on about 16,000 vectors, every vector is placed, and a task splits a cell on
-    down to leaves of 256. Classes in one leaf are linked wholly if their angles and radii prove it, ruled out if they
+    down to leaves of 256, or of 2,048 where a node stays dense. Groups of which the sample shows some 600 members or more
+    within the linking angle of one are compared wholly instead, with all vectors within twice that angle, block by block:
+    only counts and which classes are connected leave a block. Classes in one leaf are linked wholly if their angles and radii prove it, ruled out if they
     exclude it, and else compared vector by vector. Null, zero and non-finite vectors are linked with nothing.
     Repeated rows are rows of their own; a null id counts as a row and takes the smallest id of its component; other
     columns are ignored; an empty table gives no rows.
