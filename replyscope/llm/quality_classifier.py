@@ -131,18 +131,27 @@ def _columns(docs: DataFrame) -> list:
     return [(F.col(c) if c in have else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL) -> CoTrained | None:
-    """Both views from at most ``max_labelled`` labelled rows and ``max_pool`` unlabelled ones, chosen by hash."""
+def fit_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL) -> DataFrame:
+    """Rows of the fit, one an id, at most ``max_labelled`` labelled ones and ``max_pool`` others (quality -1): doc_id,
+    quality, text, lang, source, n_chars. Of rows that repeat an id the one with the least hash counts."""
     marks = (
         labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").cast("int").alias("quality"))
     )
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     ids = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
-    free = ids.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(max_pool).distinct().withColumn("quality", F.lit(-1))
+    free = ids.distinct().orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(max_pool).withColumn("quality", F.lit(-1))
     wanted = F.broadcast(
         chosen.unionByName(free).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     )
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_columns(docs)).join(wanted, "doc_id")
+    parts = ["text", "lang", "source", "n_chars"]
+    one = F.min_by(F.struct(*parts), F.xxhash64(*parts)).alias("row")
+    return found.groupBy("doc_id", "quality").agg(one).select("doc_id", "quality", *[f"row.{c}" for c in parts])
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL) -> CoTrained | None:
+    """Both views from at most ``max_labelled`` labelled rows and ``max_pool`` unlabelled ones, chosen by hash."""
 
     def make():
         def views(doc_id, quality, text, lang, source, n_chars):
@@ -150,10 +159,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
 
         return views
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_columns(docs)).join(wanted, "doc_id")
     columns = ["doc_id", "quality", "text", "lang", "source", "n_chars"]
     schema = "doc_id bigint, quality int, a array<float>, b array<float>"
-    rows = map_rows(found, make, schema, columns).toPandas()
+    rows = map_rows(fit_rows(docs, labels, max_labelled, max_pool), make, schema, columns).toPandas()
     if not len(rows):
         return None
     rows["order"] = [zlib.crc32(str(i).encode()) for i in rows["doc_id"]]
