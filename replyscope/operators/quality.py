@@ -100,6 +100,11 @@ def _required(*columns: str) -> dict[str, Column]:
     return {f"{c}_missing": F.col(c).isNull() for c in columns}
 
 
+def _present(df: DataFrame, *columns: str) -> list[str]:
+    """The columns that the table has; absent ones are told by the table checks."""
+    return [c for c in columns if c in df.columns]
+
+
 def _at_least(bound: float, *columns: str) -> dict[str, Column]:
     return {f"{c}_below_{bound:g}": F.col(c) < bound for c in columns}
 
@@ -125,6 +130,7 @@ def check_ticket_rows(tickets: DataFrame) -> DataFrame:
     rules = _required(
         "ticket_id", "created_at", "status", "channel", "priority", "contact_driver", "agent_id"
     )
+    rules |= _required(*[c for c in numbers if c != "num_macros_used"])
     rules |= {f"{c}_not_allowed": ~F.col(c).isin(values) for c, values in enums.items()}
     rules |= _at_least(0, *numbers) | _between(CSAT_MIN, CSAT_MAX, "csat_score")
     return row_violations(df, rules)
@@ -140,6 +146,7 @@ def check_macro_rows(macros: DataFrame, categories: list[str] | None = None) ->
         }
     )
     rules = _required("macro_id", "macro_name", "category", "macro_body")
+    rules |= _required(*_present(df, "created_at", "updated_at", "owner_team"))
     rules |= {
         "category_not_allowed": ~F.col("category").isin(allowed),
         "macro_name_empty": F.col("macro_name") == "",
@@ -149,12 +156,16 @@ def check_macro_rows(macros: DataFrame, categories: list[str] | None = None) ->
 
 
 def check_usage_rows(usage: DataFrame) -> DataFrame:
-    rules = _required("ticket_id", "macro_id", "applied_at", "position_in_thread")
+    rules = _required("ticket_id", "macro_id", "applied_at", "position_in_thread", *_present(usage, "agent_id", "channel"))
     return row_violations(usage, rules | _at_least(1, "position_in_thread"))
 
 
 def check_score_rows(scores: DataFrame) -> DataFrame:
     rules = _required("macro_id", "usage_count", "macro_effectiveness_index")
+    rules |= _required(*_present(
+        scores, "macro_name", "category", "avg_csat", "avg_handle_time", "reopen_rate", "csat_component",
+        "handle_time_component", "reopen_component", "macro_category", "has_sufficient_usage",
+    ))
     rules |= _at_least(0, "usage_count", "avg_handle_time")
     rules |= _between(0, 5, "avg_csat") | _between(0, 1, "reopen_rate")
     rules |= _between(
@@ -165,9 +176,12 @@ def check_score_rows(scores: DataFrame) -> DataFrame:
 
 
 def check_cluster_rows(summary: DataFrame) -> DataFrame:
-    rules = _required("cluster_id", "cluster_label")
-    rules |= _at_least(0, "cluster_id", "total_usage", "num_underused_gems", "num_low_effectiveness")
-    rules |= _at_least(1, "num_macros") | _between(0, 100, "avg_effectiveness", "median_effectiveness")
+    numbers = ("num_macros", "total_usage", "num_underused_gems", "num_low_effectiveness")
+    effectiveness = ("avg_effectiveness", "median_effectiveness")
+    usage = _present(summary, "avg_usage")
+    rules = _required("cluster_id", "cluster_label", *numbers, *effectiveness, *usage)
+    rules |= _required(*_present(summary, "consolidation_candidate"))
+    rules |= _at_least(0, "cluster_id", *numbers, *usage) | _between(0, 100, *effectiveness)
     return row_violations(summary, rules)
 
 
