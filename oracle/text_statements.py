@@ -198,6 +198,8 @@ STATEMENTS["src_csv"] = statement(f"""SELECT CAST(ticket_id AS VARCHAR) AS ticke
  FROM tickets""")
 STATEMENTS["sink_table"] = statement("""SELECT strftime(applied_at, '%Y-%m') AS month, count(*) AS n_uses FROM macro_usage
  WHERE applied_at >= TIMESTAMP '1997-01-01' AND applied_at < TIMESTAMP '1998-01-01' GROUP BY 1""")
+STATEMENTS["sink_table_months"] = statement("""SELECT strftime(applied_at, '%Y-%m') AS month, count(*) AS n_uses FROM macro_usage
+ GROUP BY 1""")
 STATEMENTS["sink_multi"] = statement("""SELECT 'macro_summary' AS table_name, count(*) AS n_rows FROM macros
  UNION ALL SELECT 'top_performers', least(20, count(*)) FROM macros
  UNION ALL SELECT 'needs_improvement', least(20, count(*)) FROM macros

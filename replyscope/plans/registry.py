@@ -966,12 +966,25 @@ def src_csv(d: Desk) -> DataFrame:
 @query
 def sink_table(d: Desk) -> DataFrame:
     """Macro uses partitioned by month and read back for one year: other months are pruned."""
+    return _month_counts(_uses_by_month(d).where(F.col("month").between("1997-01", "1997-12")))
+
+
+@query
+def sink_table_months(d: Desk) -> DataFrame:
+    """Macro uses partitioned by month and all read back: uses of every month, null for uses without a time."""
+    return _month_counts(_uses_by_month(d))
+
+
+def _uses_by_month(d: Desk) -> DataFrame:
     month = F.date_format("applied_at", "yyyy-MM")
     folder = write_table(
         d.usage_only.withColumn("month", month).repartition("month"), work_folder(d.spark, "usage"), partition_by=["month"]
     )
-    year = read_parquet(d.spark, folder).where(F.col("month").between("1997-01", "1997-12"))
-    return year.groupBy("month").agg(F.count(F.lit(1)).alias("n_uses")).select(F.col("month").cast("string").alias("month"), "n_uses")
+    return read_parquet(d.spark, folder)
+
+
+def _month_counts(uses: DataFrame) -> DataFrame:
+    return uses.groupBy("month").agg(F.count(F.lit(1)).alias("n_uses")).select(F.col("month").cast("string").alias("month"), "n_uses")
 
 
 @query
