@@ -75,7 +75,7 @@ def drop_repeated_windows(docs: DataFrame, report: bool = False) -> DataFrame:
     order of doc_id and line; the lines of its other places are removed, overlapping places merged, blank
     lines between them included. Rows, order of lines and columns stay; n_chars, if present, is counted
     anew. A text that repeats wholly becomes empty. Null texts, empty texts and texts of fewer than three
-    lines with a word stay as they are. Rows that repeat one id and text count as one document and are
+    lines with a word stay as they are, whatever the length of their lines (see the README). Rows that repeat one id and text count as one document and are
     treated alike. ``report`` adds n_lines and n_removed, replacing columns of those names.
     """
     columns = [c for c in docs.columns if not report or c not in ("n_lines", "n_removed")]
