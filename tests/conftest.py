@@ -54,8 +54,3 @@ def desk_tables(spark):
         AS t(ticket_id, macro_id, applied_at, position_in_thread)"""
     )
     return tickets, macros, usage
-
-
-def rows(df, *columns):
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

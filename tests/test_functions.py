@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from conftest import rows
+from result_rows import rows
 from pyspark.sql import functions as F
 
 from replyscope.functions import columns as C

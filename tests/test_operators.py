@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from result_rows import rows
 from pyspark.sql import functions as F
 
 from replyscope.operators import (
