@@ -13,6 +13,7 @@ from replyscope.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    rabin_karp,
     token_counts,
 )
 
@@ -64,11 +65,18 @@ def op10_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", F.col("quality_score").alias("score"), F.col("quality_kept").alias("kept"))
 
 
+def op12_rabin_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of each document without its repeated 20-word windows."""
+    done = rabin_karp.drop_repeated_passages(_table(spark, sf_dir, "documents"), width=20)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_embedding_forest, op2_quality_rules, op3_circulant_minhash, op4_license_scan, op5_histogram_shards,
         op6_token_counts, op7_binary_packing, op8_line_windows, op9_bpe_automaton, op10_co_training,
+        op12_rabin_karp,
     )
 }
 
@@ -88,4 +96,5 @@ SELECT r.vec_id, (SELECT count(*) FROM link l WHERE l.a = r.vec_id) AS n_links,
   r.vec_id = r.component_id AS kept FROM root r
 """,
     "op8_line_windows": line_windows.SQL,
+    "op12_rabin_karp": rabin_karp.SQL,
 }
