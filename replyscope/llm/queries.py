@@ -14,6 +14,7 @@ from replyscope.llm import (
     quality_classifier,
     quality_rules,
     rabin_karp,
+    token_alignment,
     token_counts,
 )
 
@@ -71,12 +72,18 @@ def op12_rabin_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned groups and links of two tokenizations of each document."""
+    done = token_alignment.align_tokenizers(_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_embedding_forest, op2_quality_rules, op3_circulant_minhash, op4_license_scan, op5_histogram_shards,
         op6_token_counts, op7_binary_packing, op8_line_windows, op9_bpe_automaton, op10_co_training,
-        op12_rabin_karp,
+        op12_rabin_karp, op13_token_alignment,
     )
 }
 
