@@ -11,6 +11,7 @@ from replyscope.llm import (
     license_scan,
     line_windows,
     packing,
+    polynomial_whitening,
     quality_classifier,
     quality_rules,
     rabin_karp,
@@ -66,6 +67,11 @@ def op10_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", F.col("quality_score").alias("score"), F.col("quality_kept").alias("kept"))
 
 
+def op11_polynomial_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector along the 16 largest components."""
+    return polynomial_whitening.whiten(_table(spark, sf_dir, "embeddings"), components=16)
+
+
 def op12_rabin_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of each document without its repeated 20-word windows."""
     done = rabin_karp.drop_repeated_passages(_table(spark, sf_dir, "documents"), width=20)
@@ -83,7 +89,7 @@ QUERIES = {
     for f in (
         op1_embedding_forest, op2_quality_rules, op3_circulant_minhash, op4_license_scan, op5_histogram_shards,
         op6_token_counts, op7_binary_packing, op8_line_windows, op9_bpe_automaton, op10_co_training,
-        op12_rabin_karp, op13_token_alignment,
+        op11_polynomial_whitening, op12_rabin_karp, op13_token_alignment,
     )
 }
 
