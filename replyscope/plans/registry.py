@@ -799,8 +799,8 @@ def pairs_threshold(d: Desk) -> DataFrame:
 
 @query
 def near_dup_approx(d: Desk) -> DataFrame:
-    """Candidates among distinct texts only, verified exactly: the scale form of the redundant pairs."""
-    return present(similarity.cosine_pairs(_combined(d), 0.95), "macro_a", "macro_b", "n_pairs")
+    """Candidates from bands of signed projections, verified exactly: the scale form of the redundant pairs."""
+    return present(similarity.near_duplicates_approx(_combined(d), 0.95, recall=0.999), "macro_a", "macro_b", "n_pairs")
 
 
 @query
@@ -810,12 +810,12 @@ def similarity_edges(d: Desk) -> DataFrame:
 
 @query
 def similarity_stats(d: Desk) -> DataFrame:
-    return present(similarity.similarity_stats(stage(similarity.similarity_counts(_bodies(d)))))
+    return present(similarity.similarity_stats(similarity.similarity_counts(_bodies(d))))
 
 
 @query
 def histogram_sim(d: Desk) -> DataFrame:
-    return present(similarity.similarity_histogram(stage(similarity.similarity_counts(_bodies(d)))))
+    return present(similarity.similarity_histogram(similarity.similarity_counts(_bodies(d))))
 
 
 @query
