@@ -2,8 +2,9 @@
 
 import hashlib
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,14 +14,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from replyscope.llm.chunks import CHUNK_BYTES, ChunkNumbers, keep_in_buckets
+from replyscope.llm.chunks import ChunkNumbers, keep_in_buckets
 from replyscope.llm.common import small_batches
 from replyscope.llm.encoding import WORD_PATTERN, byte_letters, default_tokenizer
 
 #: A stretch ends before a blank that stands alone between other characters: no token of either kind spans that place.
 STRETCH = re.compile(r"\s*\S*(?:(?! \S)\s+\S*)*")
-STRETCHES_KEPT = 150_000
+STRETCHES_KEPT = 200_000
 LONGEST_KEPT = 64
+CHUNK_BYTES = 4 << 20
 
 
 def default_pieces() -> str:
@@ -55,16 +57,11 @@ def common_ends(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
     return [(i, j) for j, i in gallop(ends_b, ends_a)]
 
 
-def overlaps(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
+def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each token of the first side, the first and last token of the second whose bytes overlap its bytes: the rank
     of its start among the second ends, and that of its end."""
-    out, start, low = [], 0, 0
-    for end in ends_a:
-        low = bisect_right(ends_b, start, low)
-        last = bisect_left(ends_b, end, low)
-        out.append((low, last))
-        start = end
-    return out
+    starts = np.concatenate([[0], ends_a[:-1]]) if len(ends_a) else ends_a
+    return np.searchsorted(ends_b, starts, "right"), np.searchsorted(ends_b, ends_a, "left")
 
 
 class Aligner:
@@ -79,7 +76,11 @@ class Aligner:
         words = Tokenizer.from_file(path_a).get_vocab(with_added_tokens=False)
         self.bytes_a = {i: bytes(byte_of[c] for c in w) for w, i in words.items() if all(c in byte_of for c in w)}
         self.bytes_b = [self._piece(i) for i in range(self.pieces.vocab_size())]
+        self.lengths_a = np.zeros(max(self.bytes_a) + 1, dtype=np.int64)
+        self.lengths_a[list(self.bytes_a)] = [len(x) for x in self.bytes_a.values()]
+        self.lengths_b = np.array([len(x) for x in self.bytes_b])
         self.split = regex.compile(WORD_PATTERN).findall
+        self.short: dict[str, list[int]] = {}
         self.young: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
 
@@ -88,41 +89,72 @@ class Aligner:
         return bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(i) else piece.replace("▁", " ").encode()
 
     def ids_a(self, text: str) -> list[int]:
-        shown = (w.encode().decode("latin-1").translate(self.letters) for w in self.split(text))
-        return [t.id for w in shown for t in self.model.tokenize(w)]
+        if text[1:].isalpha() and text[0] == " ":  # one word, as most stretches
+            return self.word_a(text)
+        return [i for w in self.split(text) for i in self.word_a(w)]
+
+    def word_a(self, word: str) -> list[int]:
+        known = self.short.get(word)
+        if known is None:
+            shown = "Ġ" + word[1:] if word.isascii() and word[1:].isalpha() and word[0] == " " else word.encode().decode("latin-1").translate(self.letters)
+            known = [t.id for t in self.model.tokenize(shown)]
+            if len(word) < 3:
+                self.short[word] = known
+        return known
 
     def known(self, stretches: list[str]) -> list[tuple | None]:
         """What ``aligned`` gives for each stretch."""
         young, old = self.young, self.old
         new = [s for s in stretches if s not in young and s not in old]
-        made = {s: self.aligned(s, self.ids_a(s), b) for s, b in zip(new, self.pieces.encode([s[1:] for s in new], num_threads=1))}
+        made = dict(zip(new, self.aligned(new)))
         out = [made[s] if s in made else young[s] if s in young else old[s] for s in stretches]
         young.update(x for x in zip(stretches, out) if len(x[0]) <= LONGEST_KEPT)
         if len(young) > STRETCHES_KEPT:
             self.young, self.old = {}, young
         return out
 
-    def aligned(self, text: str, a: list[int], b: list[int]) -> tuple[int, int, int, str, np.ndarray] | None:
-        """Tokens of each kind, groups, the groups as text, the linked ids (a << 32 | b); None if the bytes differ."""
-        parts_a, parts_b, data = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b], text.encode()
-        if b"".join(parts_a) != data or b"".join(parts_b) != data:
-            return None
-        ends_a, ends_b = _ends(parts_a), _ends(parts_b)
-        common = common_ends(ends_a, ends_b)
-        shown, i, j = [], 0, 0
-        for last_a, last_b in common:
-            shown.append(f"{','.join(map(str, a[i : last_a + 1]))}|{','.join(map(str, b[j : last_b + 1]))}")
-            i, j = last_a + 1, last_b + 1
-        linked = [x << 32 | y for x, (low, last) in zip(a, overlaps(ends_a, ends_b)) for y in b[low : last + 1]]
-        return len(a), len(b), len(common), ";".join(shown), np.array(linked, dtype=np.int64)
-
-
-def _ends(parts: list[bytes]) -> list[int]:
-    out, at = [], 0
-    for part in parts:
-        at += len(part)
-        out.append(at)
-    return out
+    def aligned(self, texts: list[str]) -> list[tuple[int, int, int, str, bytes] | None]:
+        """Of each stretch: tokens of each kind, groups, the groups as text, the linked ids (a << 32 | b, as bytes); None if the bytes differ.
+
+        The stretches are laid end to end, as each one ends with an end of both kinds, and searched together.
+        """
+        a, b = [self.ids_a(t) for t in texts], self.pieces.encode([t[1:] for t in texts], num_threads=1)
+        fits = [
+            b"".join(map(self.bytes_a.__getitem__, x)) == b"".join(map(self.bytes_b.__getitem__, y)) == t.encode()
+            for t, x, y in zip(texts, a, b)
+        ]
+        good_a, good_b = ([x for x, fit in zip(ids, fits) if fit] for ids in (a, b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (good_a, good_b))
+        ends_a, ends_b = np.cumsum(self.lengths_a[flat_a]), np.cumsum(self.lengths_b[flat_b])
+        common = np.array(common_ends(ends_a.tolist(), ends_b.tolist()), dtype=np.int64).reshape(-1, 2) + 1
+        low, last = overlaps(ends_a, ends_b)
+        n = last - low + 1
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        links = (np.repeat(flat_a, n) << 32) | flat_b[at]
+        # where each stretch ends among the tokens, the groups and the links
+        last_a = np.cumsum([len(x) for x in good_a], dtype=np.int64)
+        last_group = np.searchsorted(common[:, 0], last_a, "right").tolist()
+        last_link = np.concatenate([[0], np.cumsum(n)])[last_a].tolist() if len(last_a) else []
+        shown = self._shown(flat_a, flat_b, common)
+        made, group, link = [], 0, 0
+        for x, y, group_end, link_end in zip(good_a, good_b, last_group, last_link):
+            text = shown[group] if group_end == group + 1 else ";".join(shown[group:group_end])
+            made.append((len(x), len(y), group_end - group, text, links[link:link_end].tobytes()))
+            group, link = group_end, link_end
+        if len(made) == len(texts):
+            return made
+        rest = iter(made)
+        return [next(rest) if fit else None for fit in fits]
+
+    def _shown(self, a: np.ndarray, b: np.ndarray, common: np.ndarray) -> list[str]:
+        """The groups as text; ``common`` has the ends of the groups among the tokens of each side."""
+        texts_a, texts_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        out, i, j = [], 0, 0
+        for k, m in common.tolist():
+            left = texts_a[i] if k == i + 1 else ",".join(texts_a[i:k])
+            out.append(f"{left}|{texts_b[j] if m == j + 1 else ','.join(texts_b[j:m])}")
+            i, j = k, m
+        return out
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -148,22 +180,22 @@ class ChunkLinks:
         codes = [np.fromiter(map(code.__getitem__, stretches), np.int64, len(stretches)) for stretches in cut]
         if bad:
             codes = [c if bad.isdisjoint(c.tolist()) else c[:0] for c in codes]
-        facts = [x or (0, 0, 0, "", np.empty(0, np.int64)) for x in facts]
+        facts = [x or (0, 0, 0, "", b"") for x in facts]
         shown = [x[3] for x in facts]
         self.groups = [";".join([shown[k] for k in c.tolist()]) for c in codes]
         lengths = np.array([len(c) for c in codes], dtype=np.int64)
         every = np.concatenate([*codes, np.empty(0, np.int64)])
         doc = np.repeat(np.arange(len(texts)), lengths)
-        n = np.array([(x[0], x[1], x[2], len(x[4])) for x in facts], dtype=np.int64).reshape(-1, 4)
+        n = np.array([(x[0], x[1], x[2], len(x[4]) // 8) for x in facts], dtype=np.int64).reshape(-1, 4)
         before = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(n[every], axis=0)])
         ends = np.cumsum(lengths)
         self.counts = before[ends] - before[ends - lengths]
         self._links(doc, every, [x[4] for x in facts], n[:, 3], len(texts))
 
-    def _links(self, doc: np.ndarray, every: np.ndarray, links: list[np.ndarray], n_links: np.ndarray, n_texts: int) -> None:
+    def _links(self, doc: np.ndarray, every: np.ndarray, links: list[bytes], n_links: np.ndarray, n_texts: int) -> None:
         met, times = np.unique(doc * max(1, len(links)) + every, return_counts=True)
         doc, code = np.divmod(met, max(1, len(links)))
-        flat = np.concatenate([*links, np.empty(0, np.int64)])
+        flat = np.frombuffer(b"".join(links), dtype=np.int64)
         self.pairs, which = np.unique(flat, return_inverse=True)
         n, first = n_links[code], (np.cumsum(n_links) - n_links)[code]
         at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
