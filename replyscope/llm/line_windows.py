@@ -3,28 +3,37 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from replyscope.llm.chunks import keep_in_buckets
 from replyscope.llm.common import keep
 
 LINES = 3
+#: Rows of a block: 2**BLOCK_BITS. A block's rows lie in one bucket.
+BLOCK_BITS = 10
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _row(df_columns: list[str]) -> list[Column]:
-    """What tells rows apart: the id and the text's hash."""
-    return [F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_text")]
+def rows_in_blocks(docs: DataFrame) -> DataFrame:
+    """The documents, kept in buckets of blocks: _block, _row, _id, _text (the text's hash) and the columns as c0, c1, ..., so that no name
+    of the input can clash."""
+    columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    row = F.monotonically_increasing_id()
+    keyed = docs.select(
+        *columns, F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_text"), row.alias("_row")
+    ).withColumn("_block", F.shiftright("_row", BLOCK_BITS))
+    return keep_in_buckets(keyed, "_block", "line_rows")
 
 
-def windows(docs: DataFrame) -> DataFrame:
-    """One row for each three consecutive lines with a word: _id, _text, first and last line, 128-bit digest."""
+def windows(rows: DataFrame, text: str) -> DataFrame:
+    """One row for each three consecutive lines with a word: _block, _row, _id, _text, first and last line, 128-bit digest."""
     plain = lambda x: F.trim(F.translate(x, "\t\r\x0b\x0c", "    "))
     spoken = F.filter(
-        F.transform(_lines(F.col("text")), lambda x, i: F.struct(i.cast("long").alias("at"), plain(x).alias("line"))),
+        F.transform(_lines(F.col(text)), lambda x, i: F.struct(i.cast("long").alias("at"), plain(x).alias("line"))),
         lambda x: x["line"] != "",
     )
-    listed = docs.where(F.col("text").isNotNull()).select(*_row(docs.columns), spoken.alias("_lines"))
+    listed = rows.where(F.col(text).isNotNull()).select(*KEYS, spoken.alias("_lines"))
     digest = lambda i: F.unhex(F.md5(F.concat_ws(
         "\n", *[F.col("_lines")[i + k]["line"] for k in range(LINES)]
     )))
@@ -36,32 +45,35 @@ def windows(docs: DataFrame) -> DataFrame:
         ),
     )
     return (
-        listed.where(F.size("_lines") >= LINES).select("_id", "_text", F.explode(each).alias("w"))
-        .select("_id", "_text", "w.first", "w.last", "w.digest")
+        listed.where(F.size("_lines") >= LINES).select(*KEYS, F.explode(each).alias("w"))
+        .select(*KEYS, "w.first", "w.last", "w.digest")
     )
 
 
-def covered_runs(docs: DataFrame) -> DataFrame:
-    """Line ranges to remove, merged: _id, _text, runs (array of first, last; in order), n_removed lines.
+KEYS = ["_block", "_row", "_id", "_text"]
 
-    A window's first place (least id, then text hash, then line) stays; all its other places go.
+
+def covered_runs(rows: DataFrame, text: str) -> DataFrame:
+    """Line ranges to remove, merged: _block, _row, runs (array of first, last; in order), n_removed lines.
+
+    A window's first place (least id, then text hash, row and line) stays; all its other places go.
     """
-    found = keep(windows(docs), "windows")
-    place = F.struct("_id", "_text", "first")
+    found = keep(windows(rows, text), "windows")
+    place = F.struct("_id", "_text", "_row", "first")
     first = keep(
         found.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("home")).where("n > 1")
         .select("digest", "home"),
         "repeated",
     )
-    later = found.join(first, "digest").where(~place.eqNullSafe(F.col("home"))).select("_id", "_text", "first", "last")
-    in_text = Window.partitionBy("_id", "_text").orderBy("first", "last")
+    later = found.join(first, "digest").where(~place.eqNullSafe(F.col("home"))).select("_block", "_row", "first", "last")
+    in_text = Window.partitionBy("_block", "_row").orderBy("first", "last")
     reached = F.max("last").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
     starts = later.distinct().withColumn("new", F.when(F.col("first") <= reached, 0).otherwise(1))
     runs = (
         starts.withColumn("run", F.sum("new").over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("_id", "_text", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        .groupBy("_block", "_row", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     )
-    return runs.groupBy("_id", "_text").agg(
+    return runs.groupBy("_block", "_row").agg(
         F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"),
         F.sum(F.col("last") - F.col("first") + 1).cast("long").alias("n_removed"),
     )
@@ -75,12 +87,19 @@ def drop_repeated_windows(docs: DataFrame, report: bool = False) -> DataFrame:
     order of doc_id and line; the lines of its other places are removed, overlapping places merged, blank
     lines between them included. Rows, order of lines and columns stay; n_chars, if present, is counted
     anew. A text that repeats wholly becomes empty. Null texts, empty texts and texts of fewer than three
-    lines with a word stay as they are, whatever the length of their lines (see the README). Rows that repeat one id and text count as one document and are
-    treated alike. ``report`` adds n_lines and n_removed, replacing columns of those names.
+    lines with a word stay as they are, whatever the length of their lines (see the README). Rows of one id are separate documents in
+    the order of their texts' hashes, equal ones as they are stored: of a repeated row one keeps its lines. Null ids come
+    first. ``report`` adds n_lines and n_removed, replacing columns of those names.
+
+    Texts are written once, in buckets of blocks of rows; what is to be removed is sent to the blocks, and no text is
+    shuffled, whatever the sizes.
     """
-    columns = [c for c in docs.columns if not report or c not in ("n_lines", "n_removed")]
-    runs = keep(covered_runs(docs), "runs")
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns], *_row(docs.columns))
+    names = list(docs.columns)
+    text = f"c{names.index('text')}"
+    rows = rows_in_blocks(docs)
+    runs = keep(covered_runs(rows, text), "runs").select(
+        F.col("_block").alias("_b"), F.col("_row").alias("_r"), "runs", F.col("n_removed").alias("_gone")
+    )
     cut = F.col("runs")
     before = lambda k: F.when(k == 0, F.lit(0).cast("long")).otherwise(cut[k - 1]["last"] + 1)
     until = lambda k: F.when(k == F.size(cut), F.size("_all").cast("long")).otherwise(cut[k]["first"])
@@ -88,19 +107,21 @@ def drop_repeated_windows(docs: DataFrame, report: bool = False) -> DataFrame:
         F.sequence(F.lit(0), F.size(cut)),
         lambda k: F.slice("_all", (before(k) + 1).cast("int"), (until(k) - before(k)).cast("int")),
     ))
-    joined = rows.alias("d").join(
-        runs.select(F.col("_id").alias("_rid"), F.col("_text").alias("_rtext"), "runs", F.col("n_removed").alias("_gone")),
-        F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_text") == F.col("_rtext")), "left",
-    ).withColumn("_all", _lines(F.col("text")))
-    text = F.when(cut.isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    # the difference keeps the row out of the join's keys, which would no longer be those of the buckets
+    joined = rows.join(
+        runs.hint("shuffle_hash"), (F.col("_block") == F.col("_b")) & (F.col("_row") - F.col("_r") == 0), "left"
+    ).withColumn("_all", _lines(F.col(text)))
+    done = F.when(cut.isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
     out = []
-    for c in columns:
+    for i, c in enumerate(names):
+        if report and c in ("n_lines", "n_removed"):
+            continue
         if c == "text":
-            out.append(text.alias("text"))
+            out.append(done.alias("text"))
         elif c == "n_chars":
-            out.append(F.when(cut.isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema[c].dataType).alias(c))
+            out.append(F.when(cut.isNull(), F.col(f"c{i}")).otherwise(F.length(done)).cast(docs.schema[c].dataType).alias(c))
         else:
-            out.append(F.col(f"d.`{c}`"))
+            out.append(F.col(f"c{i}").alias(c))
     if report:
         out += [
             F.coalesce(F.size("_all"), F.lit(0)).cast("long").alias("n_lines"),

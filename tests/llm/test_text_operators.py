@@ -219,6 +219,19 @@ def test_line_windows(spark, docs, odd_docs, no_docs):
     assert line_windows.drop_repeated_windows(no_docs).count() == 0
 
 
+def test_line_windows_with_any_names_and_repeated_rows(spark):
+    body = "a b\nc d\ne f\ng"
+    rows = [(1, body, "x", 5, 1)] * 3 + [(2, "q\n" + body, "y", 6, 2), (None, "a b\nc d", None, None, None)]
+    names = ["doc_id", "text", "runs", "_row", "n_removed"]
+    got = line_windows.drop_repeated_windows(spark.createDataFrame(rows, names))
+    assert got.columns == names
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [(1, body, "x", 5, 1), (1, "", "x", 5, 1), (1, "", "x", 5, 1), (2, "q", "y", 6, 2), (None, "a b\nc d", None, None, None)], key=repr
+    )
+    told = line_windows.drop_repeated_windows(spark.createDataFrame(rows, names), report=True).collect()
+    assert sorted(r.n_removed for r in told) == [0, 0, 4, 4, 4]
+
+
 def test_line_statement(spark, docs):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
