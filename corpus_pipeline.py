@@ -17,8 +17,10 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier accepts."""
-    judged = quality_classifier.classify(docs, _labels(spark, sf_dir))
+    """Documents that the co-trained classifier accepts. It is fitted on all documents with the labels: most bad ones
+    have left before this stage, and a classifier without them could judge nothing."""
+    every = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    judged = quality_classifier.classify(docs, _labels(spark, sf_dir), fit_docs=every)
     return judged.where("quality_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -37,8 +39,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of binary length."""
-    return packing.pack(docs)
+    """Pieces of binary length of all documents with a word: line dedup has removed every line of the others, as copies."""
+    return packing.pack(docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")))
 
 
 STAGES = [
