@@ -191,6 +191,25 @@ STATEMENTS["predictor_training_set"] = statement("""SELECT ticket_id, macro_id,
    (SELECT quantile_cont(macro_effectiveness_index, 0.5) FROM indexed))
   QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY applied_at, position_in_thread, macro_id) = 1)
  JOIN documents ON ticket_id = doc_id""", SCORED)
+TRAINED = """training AS (SELECT ticket_id, macro_id, text FROM
+ (SELECT * FROM macro_usage WHERE macro_id IN (SELECT macro_id FROM indexed WHERE macro_effectiveness_index >=
+   (SELECT quantile_cont(macro_effectiveness_index, 0.5) FROM indexed))
+  QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY applied_at, position_in_thread, macro_id) = 1)
+ JOIN documents ON ticket_id = doc_id),
+learned AS (SELECT count(DISTINCT macro_id) AS n_classes, count(*) AS n_samples FROM training)"""
+TRAINED_TERMS = [f"words AS (SELECT {token_list('lower(text)')} AS t FROM training)",
+                 f"terms AS (SELECT DISTINCT unnest({term_list('t')}) AS term FROM words)"]
+STATEMENTS["predictor_fit_checks"] = statement("""SELECT n_classes, n_classes AS n_numbers, n_classes - 1 AS last_number,
+ n_samples, (SELECT least(1000, count(*)) FROM terms) AS n_terms, 1.0E0 AS importance FROM learned""",
+    [*SCORED, TRAINED], TRAINED_TERMS)
+STATEMENTS["predictor_metrics_checks"] = statement(
+    "SELECT true AS in_order, n_classes, n_samples FROM learned", [*SCORED, TRAINED])
+STATEMENTS["predict_batch_checks"] = statement("""SELECT doc_id AS ticket_id, least(3, n_classes) AS n_rows,
+ least(3, n_classes) AS n_macros, least(3, n_classes) AS n_known, true AS in_order FROM documents, learned""",
+    [*SCORED, TRAINED])
+STATEMENTS["topn_checks"] = statement("""SELECT concat_ws('-', conv_id, turn) AS ticket_id, least(5, n_classes) AS n_rows,
+ least(5, n_classes) AS n_macros, least(5, n_classes) AS n_known, true AS in_order FROM conversations, learned""",
+    [*SCORED, TRAINED])
 STATEMENTS["src_csv"] = statement(f"""SELECT CAST(ticket_id AS VARCHAR) AS ticket_id, {text('created_at', 'resolved_at')},
  status, channel, priority, contact_driver, {r('first_response_time_minutes')} AS first_response_time_minutes,
  {r('total_handle_time_minutes')} AS total_handle_time_minutes, CAST(reopens_count AS BIGINT) AS reopens_count,

@@ -9,7 +9,6 @@ The collapsed counts are read several times and therefore kept.
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from replyscope.functions.columns import col
 from replyscope.sources.tables import stage
@@ -144,21 +143,26 @@ def grouped_quantile(
 def number_rows(df: DataFrame, value: str, tie: str, out: str) -> DataFrame:
     """Dense numbering 1..n by value descending, then tie column ascending.
 
-    A frequent value is itself a range border; its rows come first in their range and are cut further
-    by a numeric tie column, so that not even one value held by a third of the rows stays in one task.
+    Ranges are cut on value and tie together, so a value that a third of the rows hold is dealt to many parts, whatever
+    the kind of the tie column.
     """
-    borders = range_borders(df, value)
-    numeric = isinstance(df.schema[tie].dataType, T.NumericType)
-    tie_borders = range_borders(df, tie) if numeric and borders else []
-    parts = len(tie_borders) + 2
-    part = F.lit(parts - 1)
-    if borders:
-        part = F.when(F.col(value).isin(borders), range_index(tie, tie_borders)).otherwise(part)
-    ranged = df.withColumn("_r", part - range_index(value, borders) * parts)
-    totals = _range_totals(ranged.withColumn("_one", F.lit(1)), [], "_one").select("_r", "_off")
-    inside = Window.partitionBy("_r").orderBy(F.col(value).desc(), F.col(tie))
+    return dense_numbers(df, [F.col(value).desc(), F.col(tie).asc()], out)
+
+
+def dense_numbers(df: DataFrame, order: list[Column], out: str, ranges: int = BUCKETS) -> DataFrame:
+    """Dense numbering 1..n in an order given by columns of any kind.
+
+    The sorted ranges are kept, each counts its rows from its first one, and what stands before a range is added: at most
+    ``ranges`` counts are put in order, never rows.
+    """
+    placed = stage(
+        df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    ).withColumn("_part", F.shiftright("_at", 33))
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_low"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select("_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_low") + 1).alias("_shift"))
     return (
-        ranged.join(totals, "_r")
-        .withColumn(out, F.col("_off") + F.row_number().over(inside))
-        .drop("_r", "_off")
+        placed.join(F.broadcast(shifts), "_part")
+        .withColumn(out, F.col("_at") + F.col("_shift"))
+        .drop("_part", "_at", "_shift")
     )

@@ -913,41 +913,96 @@ def predictor_training_set(d: Desk) -> DataFrame:
     return chosen.select("ticket_id", "macro_id", F.md5("text").alias("digest"))
 
 
-def _labelled(d: Desk) -> DataFrame:
-    """Document texts with their source standing for the macro that answered them."""
-    return spread(
-        d.table("documents").select(F.col("doc_id").alias("ticket_id"), "text", F.col("source").alias("macro_id"))
-    )
+def _ticket_texts(d: Desk) -> DataFrame:
+    return spread(d.table("documents").select(F.col("doc_id").alias("ticket_id"), "text"))
+
+
+def _predictor(d: Desk):
+    """Fitted on the predictor's own training set: texts of tickets that a macro of the better half answered first."""
+    return predict.fit_predictor(predict.training_set(_ticket_texts(d), d.usage_only, d.indexed))
+
+
+def _turns(d: Desk) -> DataFrame:
+    return d.table("conversations").select(F.concat_ws("-", "conv_id", "turn").alias("ticket_id"), "text")
 
 
 @query
 def predictor_fit(d: Desk) -> DataFrame:
-    """Most important terms of the fitted forest."""
-    model, _ = predict.fit_predictor(_labelled(d))
-    weights = model.forest.featureImportances.toArray().tolist()
-    rows = [(t, float(w)) for t, w in zip(model.tfidf.terms, weights)]
+    """Most important terms of the fitted forests."""
+    model, _ = _predictor(d)
+    rows = [(t, float(w)) for t, w in zip(model.tfidf.terms, model.importances)]
     terms = d.spark.createDataFrame(rows, "term string, importance double")
     return present(terms.orderBy(F.desc("importance"), "term").limit(20))
 
 
+@query
+def predictor_fit_checks(d: Desk) -> DataFrame:
+    """What any fit must give: replies and rows of the training set, terms, importances that add up to 1."""
+    model, _ = _predictor(d)
+    numbers = model.classes.agg(
+        F.count(F.lit(1)).alias("n_classes"), F.countDistinct("class").alias("n_numbers"), F.max("class").alias("last_number")
+    )
+    return present(
+        numbers.select(
+            "*", F.lit(model.n_samples).alias("n_samples"), F.lit(len(model.tfidf.terms)).alias("n_terms"),
+            F.lit(round(sum(model.importances), 6)).alias("importance"),
+        )
+    )
+
+
 @query
 def predictor_metrics(d: Desk) -> DataFrame:
-    model, held_out = predict.fit_predictor(_labelled(d))
+    model, held_out = _predictor(d)
     return present(model.evaluate(held_out))
 
 
+@query
+def predictor_metrics_checks(d: Desk) -> DataFrame:
+    """Shares between 0 and 1, the first place never more often right than the first three."""
+    model, held_out = _predictor(d)
+    ok = (F.col("accuracy") >= 0) & (F.col("accuracy") <= F.col("top3_accuracy")) & (F.col("top3_accuracy") <= 1)
+    return present(model.evaluate(held_out).select(ok.alias("in_order"), "n_classes", "n_samples"))
+
+
+def _checked(best: DataFrame, model: predict.MacroPredictor) -> DataFrame:
+    """Per ticket: how many replies it got, whether ranks and confidences are in order, and how many replies are known ones."""
+    known = model.classes.select(F.col("macro_id").alias("recommended_macro"), F.lit(1).alias("known"))
+    listed = F.sort_array(F.collect_list(F.struct("rank", "confidence")))
+    per = best.join(known, "recommended_macro", "left").groupBy("ticket_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("recommended_macro").alias("n_macros"), F.count("known").alias("n_known"),
+        listed.alias("_l"),
+    )
+    falls = F.forall(
+        F.sequence(F.lit(0), F.size("_l") - 1),
+        lambda i: (F.get("_l", i)["rank"] == i + 1) & F.get("_l", i)["confidence"].between(0, 1)
+        & ((i == 0) | (F.get("_l", i)["confidence"] <= F.coalesce(F.get("_l", i - 1)["confidence"], F.lit(1.0)))),
+    )
+    return per.select("ticket_id", "n_rows", "n_macros", "n_known", falls.alias("in_order"))
+
+
 @query
 def predict_batch(d: Desk) -> DataFrame:
-    model, _ = predict.fit_predictor(_labelled(d))
-    return present(model.predict_batch(_labelled(d)))
+    model, _ = _predictor(d)
+    return present(model.predict_batch(_ticket_texts(d)))
+
+
+@query
+def predict_batch_checks(d: Desk) -> DataFrame:
+    model, _ = _predictor(d)
+    return present(_checked(model.predict_batch(_ticket_texts(d)), model))
 
 
 @query
 def topn_per_ticket(d: Desk) -> DataFrame:
-    """Five best labels per conversation turn."""
-    model, _ = predict.fit_predictor(_labelled(d))
-    turns = d.table("conversations").select(F.concat_ws("-", "conv_id", "turn").alias("ticket_id"), "text")
-    return present(model.predict_batch(turns, top_n=5))
+    """Five best macros per conversation turn."""
+    model, _ = _predictor(d)
+    return present(model.predict_batch(_turns(d), top_n=5))
+
+
+@query
+def topn_checks(d: Desk) -> DataFrame:
+    model, _ = _predictor(d)
+    return present(_checked(model.predict_batch(_turns(d), top_n=5), model))
 
 
 # --- sources, sinks and the batch job --------------------------------------------------------------------

@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from replyscope.operators import pairs, ranking
 
@@ -104,3 +105,17 @@ def test_similar_names_equal_brute_force(spark):
     assert got == sorted(want)[:50]
     everything = [(r.macro_1_id, r.macro_2_id) for r in similar_names(df, 10_000).collect()]
     assert everything == sorted(want)
+
+
+def test_hot_value_with_string_ties_is_dealt_out(spark):
+    """A third of the rows on one value, ids as text: numbers are right and no part holds over five percent."""
+    rows = [(f"id{i:05}", 50.0 if i % 3 == 0 else float(i % 997)) for i in range(30_000)]
+    df = spark.createDataFrame(rows, "id string, v double").repartition(8)
+    got = [r.id for r in ranking.number_rows(df, "v", "id", "n").orderBy("n").collect()]
+    assert got == [i for i, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
+    order = [F.col("v").desc(), F.col("id").asc()]
+    parts = df.repartitionByRange(ranking.BUCKETS, *order).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in parts) <= 0.05 * len(rows)
+    numbered = ranking.dense_numbers(spark.createDataFrame([("b",), (None,), ("a",)], "s string"), [F.col("s").asc()], "k")
+    assert {r.s: r.k for r in numbered.collect()} == {None: 1, "a": 2, "b": 3}
+    assert ranking.dense_numbers(df.limit(0), order, "k").count() == 0
