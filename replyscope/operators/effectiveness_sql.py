@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from replyscope.functions.columns import fixed
 from replyscope.operators.pairs import first_pairs
 from replyscope.schemas import MIN_USAGE_FOR_SCORING, WEIGHT_CSAT, WEIGHT_HANDLE_TIME, WEIGHT_REOPEN
+from replyscope.sources.tables import stage
 
 
 def _reopened():
@@ -188,34 +189,68 @@ def action_items_summary(macros: DataFrame, usage: DataFrame) -> DataFrame:
     return totals.select(F.explode(rows).alias("r")).select("r.*").unionByName(_big_categories(macros))
 
 
+GRAM = 3
+
+
+def _grams(text):
+    """All pieces of one to three characters of a text, as often as they stand in it."""
+    def of(k: int):
+        last = F.length(text) - k + 1
+        starts = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.substring(text, i, F.lit(k)))
+
+    return F.flatten(F.array(*[of(k) for k in range(1, GRAM + 1)]))
+
+
+def held_words(names: DataFrame, words: DataFrame) -> DataFrame:
+    """Which names hold which words: (category, name_key, word) for ``names`` (category, name_key, low) and ``words`` (category, word).
+
+    An inverted index of pieces of up to three characters: a word is looked up by one piece of its own, the one that the fewest names of
+    its category hold, and the names found so are verified. A name is listed under its pieces, three a letter at most, whatever its length.
+    """
+    listed = names.select("category", "name_key", F.explode(_grams(F.col("low"))).alias("gram")).distinct()
+    known = listed.groupBy("category", "gram").agg(F.count(F.lit(1)).alias("n"))
+    size = F.least(F.length("word"), F.lit(GRAM))
+    starts = F.sequence(F.lit(1), F.length("word") - size + 1)
+    asked = words.where(F.length("word") > 0).select(
+        "category", "word", F.explode(F.transform(starts, lambda i: F.substring(F.col("word"), i, size))).alias("gram")
+    ).distinct()
+    # a piece that no name holds rules the word out
+    rated = asked.join(known, ["category", "gram"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = rated.groupBy("category", "word").agg(F.min(F.struct("n", "gram")).alias("r")).where("r.n > 0")
+    found = rarest.select("category", "word", F.col("r.gram").alias("gram")).join(listed, ["category", "gram"])
+    checked = found.join(names, ["category", "name_key"]).where(F.contains("low", F.col("word")))
+    return checked.select("category", "name_key", "word")
+
+
 def similar_names(macros: DataFrame, n: int = 50) -> DataFrame:
     """First ``n`` pairs of active macros of one category where either name holds the other's first word.
 
-    No pair is formed to find them. A first word holds no blank, so it lies inside one blank-separated
-    word of the other name: every name is expanded to the substrings of its words that are first words
-    of its category. From the counts per word follows which macros have a partner at all; the first
+    No pair is formed to find them: equal names of a category are taken together, and an index of short pieces tells which first words
+    each name holds (see ``held_words``). An empty first word (of a name that starts with a blank) is held by every name of its
+    category. From the counts per word follows which macros have a partner at all; the first
     ``2n`` of those suffice (see ``first_pairs``).
     """
     active = macros.where("is_active").select("macro_id", "category", F.col("macro_name").alias("name"))
     named = active.where(F.col("category").isNotNull() & F.col("name").isNotNull()).withColumns(
         {"low": F.lower("name"), "word": F.lower(F.element_at(F.split("name", " "), 1))}
-    )
-    leading = named.groupBy("category", "word").agg(F.count(F.lit(1)).alias("n_leading"))
-    pieces = F.array_distinct(
-        F.concat(F.array(F.lit("")), F.flatten(F.transform(F.split("low", " "), _substrings)))
-    )
-    held = (
-        named.select("macro_id", "category", F.explode(pieces).alias("word"))
-        .join(leading, ["category", "word"])
-    )
+    ).withColumn("name_key", F.sha2("low", 256))
+    leading = stage(named.groupBy("category", "word").agg(F.count(F.lit(1)).alias("n_leading")))
+    alike = stage(named.groupBy("category", "name_key").agg(F.first("low").alias("low"), F.count(F.lit(1)).alias("n_names")))
+    held = stage(held_words(alike.select("category", "name_key", "low"), leading.select("category", "word")))
+    totals = alike.groupBy("category").agg(F.sum("n_names").alias("n_all"))
+    blank = leading.where("word = ''").select("category", F.col("n_leading").alias("n_blank"))
     # Others whose first word this name holds (it always holds its own), and names holding a word.
-    holds = held.groupBy("macro_id").agg((F.sum("n_leading") - 1).alias("n_held"))
-    holders = held.groupBy("category", "word").agg((F.count(F.lit(1)) - 1).alias("n_holders"))
+    holds = held.join(leading, ["category", "word"]).groupBy("category", "name_key").agg(F.sum("n_leading").alias("n_words"))
+    holders = held.join(alike.select("category", "name_key", "n_names"), ["category", "name_key"]).groupBy("category", "word").agg(
+        F.sum("n_names").alias("n_holders")
+    ).unionByName(blank.join(totals, "category").select("category", F.lit("").alias("word"), F.col("n_all").alias("n_holders")))
     partnered = (
-        named.join(holds, "macro_id")
-        .join(holders, ["category", "word"])
-        .where((F.col("n_held") > 0) | (F.col("n_holders") > 0))
+        named.join(holds, ["category", "name_key"], "left").join(blank, "category", "left").join(holders, ["category", "word"])
+        .where((F.coalesce("n_words", F.lit(0)) + F.coalesce("n_blank", F.lit(0)) > 1) | (F.col("n_holders") > 1))
+        .drop("name_key", "n_words", "n_blank", "n_holders")
     )
+    named = named.drop("name_key")
     a, b = F.col("a"), F.col("b")
     matches = (a["category"] == b["category"]) & (
         F.contains(a["low"], b["word"]) | F.contains(b["low"], a["word"])
@@ -227,17 +262,3 @@ def similar_names(macros: DataFrame, n: int = 50) -> DataFrame:
         a["category"].alias("category"),
         F.lit("Potential duplicate - review for consolidation").alias("recommendation"),
     )
-
-
-def _substrings(word):
-    starts = F.when(F.length(word) > 0, F.sequence(F.lit(1), F.length(word))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.flatten(
-        F.transform(
-            starts,
-            lambda i: F.transform(
-                F.sequence(F.lit(1), F.length(word) - i + 1), lambda k: F.substring(word, i, k)
-            ),
-        )
-    )

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from replyscope.functions.columns import rate
 from replyscope.operators.ranking import grouped_quantile
+from replyscope.sources.tables import stage
 
 OUTCOMES = [
     "ticket_id", "agent_id", "contact_driver", "csat_score", "total_handle_time_minutes", "reopens_count",
@@ -43,36 +44,64 @@ def usage_outcomes(usage: DataFrame, tickets: DataFrame, columns: list[str] | No
 def macro_features(usage: DataFrame, tickets: DataFrame, macros: DataFrame, medians: bool = True) -> DataFrame:
     """All macros with their use counts and mean/median outcomes; unused macros carry zeros.
 
-    The rating median runs over at most five distinct values per macro; the handle-time median uses
-    the range-partitioned quantile. Scores need neither median, so ``medians=False`` skips them.
+    With medians, the uses are joined to their tickets once and counted by all values that matter; the counts are kept, and means,
+    both medians and the distinct counts are read from them. Scores need neither medians nor distinct
+    counts, so ``medians=False`` takes its means straight from the join.
     """
     outcomes = usage_outcomes(usage, tickets)
-    aggs = [
-        F.count("ticket_id").alias("usage_count"),
-        F.avg("csat_score").alias("avg_csat"),
-        F.avg("total_handle_time_minutes").alias("avg_handle_time"),
-        rate(F.col("reopens_count") > 0).alias("reopen_rate"),
-    ]
     if medians:
-        aggs += [
-            F.countDistinct("agent_id").alias("unique_agents"),
-            F.countDistinct("contact_driver").alias("unique_drivers"),
-        ]
-    features = outcomes.groupBy("macro_id").agg(*aggs)
-    numbers = ["usage_count", "avg_csat", "avg_handle_time", "reopen_rate"]
-    if medians:
-        median = grouped_quantile(
-            outcomes, ["macro_id"], "total_handle_time_minutes", 0.5, "median_handle_time", source=tickets
+        features = _counted_features(outcomes)
+    else:
+        features = outcomes.groupBy("macro_id").agg(
+            F.count("ticket_id").alias("usage_count"),
+            F.avg("csat_score").alias("avg_csat"),
+            F.avg("total_handle_time_minutes").alias("avg_handle_time"),
+            rate(F.col("reopens_count") > 0).alias("reopen_rate"),
         )
-        # Apart from the distinct counts, whose row expansion would carry the percentile buffers along.
-        ratings = outcomes.groupBy("macro_id").agg(F.percentile("csat_score", 0.5).alias("median_csat"))
-        features = features.join(ratings, "macro_id", "left").join(median, "macro_id", "left")
-        numbers += ["median_csat", "median_handle_time", "unique_agents", "unique_drivers"]
+    numbers = [c for c in features.columns if c != "macro_id"]
     return macros.join(features, "macro_id", "left").withColumns(
         {c: F.coalesce(F.col(c), F.lit(0)) for c in numbers}
     )
 
 
+def _counted_features(outcomes: DataFrame) -> DataFrame:
+    """Per macro, from one counted table: uses, means, reopen rate, exact medians, distinct agents and drivers."""
+    reopened = F.coalesce(F.col("reopens_count") > 0, F.lit(False)).alias("reopened")
+    counted = stage(
+        outcomes.where(F.col("macro_id").isNotNull())
+        .groupBy("macro_id", "csat_score", "total_handle_time_minutes", reopened, "agent_id", "contact_driver")
+        .agg(F.count(F.lit(1)).alias("n"), F.count("ticket_id").alias("n_tickets"))
+    )
+    n = F.col("n").cast("double")
+
+    def mean(value: str):
+        v = F.col(value).cast("double")
+        return F.try_divide(F.sum(v * n), F.sum(F.when(v.isNotNull(), n)))
+
+    sums = counted.groupBy("macro_id").agg(
+        F.sum("n_tickets").alias("usage_count"), mean("csat_score").alias("avg_csat"),
+        mean("total_handle_time_minutes").alias("avg_handle_time"),
+        F.try_divide(F.sum(F.when(F.col("reopened"), n).otherwise(0.0)), F.sum(n)).alias("reopen_rate"),
+    )
+    # Two distinct counts: values first, then their number, so that a macro with all uses is combined in many tasks.
+    kinds = F.explode(F.array(
+        F.struct(F.lit("agent").alias("kind"), F.col("agent_id").cast("string").alias("value")),
+        F.struct(F.lit("driver").alias("kind"), F.col("contact_driver").cast("string").alias("value")),
+    ))
+    known = counted.select("macro_id", kinds.alias("k")).select("macro_id", "k.*").where("value is not null").distinct()
+    different = known.groupBy("macro_id").agg(
+        F.count_if(F.col("kind") == "agent").alias("unique_agents"), F.count_if(F.col("kind") == "driver").alias("unique_drivers")
+    )
+    medians = [
+        grouped_quantile(counted, ["macro_id"], value, 0.5, out, n="n")
+        for value, out in (("csat_score", "median_csat"), ("total_handle_time_minutes", "median_handle_time"))
+    ]
+    joined = sums.join(different, "macro_id", "left")
+    for median in medians:
+        joined = joined.join(median, "macro_id", "left")
+    return joined
+
+
 def ticket_macro_detail(fact_tickets: DataFrame, usage: DataFrame, macros: DataFrame) -> DataFrame:
     """One row per use with ticket outcome and macro name."""
     facts = fact_tickets.select(

@@ -107,9 +107,10 @@ def average_ranks(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
 
 
 def grouped_quantile(
-    df: DataFrame, keys: list[str], value: str, p: float, out: str, source: DataFrame | None = None
+    df: DataFrame, keys: list[str], value: str, p: float, out: str, source: DataFrame | None = None, n: str | None = None
 ) -> DataFrame:
-    """Exact, linearly interpolated quantile per group (one row overall when ``keys`` is empty).
+    """Exact, linearly interpolated quantile per group (one row overall when ``keys`` is empty). ``n`` names a column that
+    tells how many rows a row stands for.
 
     Only the ranges holding the wanted positions are sorted, so a hot group is neither held in one
     task's memory nor sorted whole.
@@ -117,7 +118,7 @@ def grouped_quantile(
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias(value))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg((F.sum(n) if n else F.count(F.lit(1))).alias("n"))
     )
     ranged = with_range(counts, value, counts if source is None else source)
     position = (F.col("total") - 1) * F.lit(float(p))
