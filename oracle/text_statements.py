@@ -215,6 +215,21 @@ STATEMENTS["src_csv"] = statement(f"""SELECT CAST(ticket_id AS VARCHAR) AS ticke
  {r('total_handle_time_minutes')} AS total_handle_time_minutes, CAST(reopens_count AS BIGINT) AS reopens_count,
  CAST(csat_score AS DOUBLE) AS csat_score, CAST(agent_id AS VARCHAR) AS agent_id, macro_sequence, final_macro_id
  FROM tickets""")
+STATEMENTS["src_csv_report"] = statement("""SELECT measure, n FROM (
+ SELECT count(*) AS rows, count(*) FILTER (lost) AS rejected, count(*) FILTER (ticket_id % 50 = 0) AS unparsed_created_at,
+  count(*) FILTER (ticket_id % 41 = 0) AS unparsed_resolved_at, count(*) FILTER (ticket_id % 70 = 0) AS unparsed_csat_score,
+  count(*) FILTER (NOT lost) AS kept, count(*) FILTER (NOT lost AND ticket_id % 41 <> 0 AND resolved_at IS NOT NULL) AS with_resolved_at,
+  count(*) FILTER (NOT lost AND ticket_id % 3 = 0) AS with_response, count(*) FILTER (ticket_id % 50 = 0) AS aside_for_created_at
+ FROM (SELECT *, ticket_id % 50 = 0 OR ticket_id % 90 = 0 AS lost FROM tickets)) UNPIVOT (n FOR measure IN (rows, rejected,
+  unparsed_created_at, unparsed_resolved_at, unparsed_csat_score, kept, with_resolved_at, with_response, aside_for_created_at))
+ WHERE n > 0 OR measure IN ('kept', 'with_resolved_at', 'with_response', 'aside_for_created_at')""")
+STATEMENTS["job_resumed"] = statement("""SELECT 'tickets_clean' AS "table", 'clean' AS step, count(*) AS n_rows FROM tickets
+ UNION ALL SELECT 'macros_clean', 'clean', count(*) FROM macros
+ UNION ALL SELECT 'macro_usage_clean', 'clean', count(*) FROM macro_usage WHERE ticket_id IN (SELECT ticket_id FROM tickets)
+  AND macro_id IN (SELECT macro_id FROM macros)
+ UNION ALL SELECT 'ticket_features', 'features', count(*) FROM tickets
+ UNION ALL SELECT 'macro_features', 'features', count(*) FROM macros
+ UNION ALL SELECT 'macro_scores', 'score', count(*) FROM macros""", BASE)
 STATEMENTS["sink_table"] = statement("""SELECT strftime(applied_at, '%Y-%m') AS month, count(*) AS n_uses FROM macro_usage
  WHERE applied_at >= TIMESTAMP '1997-01-01' AND applied_at < TIMESTAMP '1998-01-01' GROUP BY 1""")
 STATEMENTS["sink_table_months"] = statement("""SELECT strftime(applied_at, '%Y-%m') AS month, count(*) AS n_uses FROM macro_usage

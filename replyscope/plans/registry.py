@@ -30,6 +30,7 @@ from replyscope.operators import (
 from replyscope.plans.desk import Desk
 from replyscope.schemas import TICKETS
 from replyscope.sources.tables import (
+    ingest_csv,
     read_csv,
     read_parquet,
     spread,
@@ -1018,6 +1019,46 @@ def src_csv(d: Desk) -> DataFrame:
     return present(read_csv(d.spark, folder, schema))
 
 
+@query
+def src_csv_report(d: Desk) -> DataFrame:
+    """Tickets with bad dates, ratings and missing agents written as CSV; what the reader counts and puts aside, and what is left."""
+    k = F.col("ticket_id")
+    columns = [f.name for f in TICKETS if f.name in d.tickets.columns]
+    spoiled = d.tickets.select(*[F.col(c).cast("string").alias(c) for c in columns]).withColumns(
+        {
+            "created_at": F.when(k % 50 == 0, "no date").otherwise(F.col("created_at")),
+            "resolved_at": F.when(k % 41 == 0, "31/12/1997 25:00").otherwise(F.col("resolved_at")),
+            "csat_score": F.when(k % 70 == 0, "five").otherwise(F.col("csat_score")),
+            "agent_id": F.when(k % 90 == 0, None).otherwise(F.col("agent_id")),
+            "csat_response": F.when(k % 3 == 0, F.concat(F.lit('said "fine", '), k.cast("string"))),
+        }
+    )
+    folder = work_folder(d.spark, "tickets_spoiled")
+    write_table(spoiled, folder, "csv")
+    taken = ingest_csv(d.spark, folder, "tickets", work_folder(d.spark, "tickets_taken"))
+    observed = d.spark.createDataFrame([(c, n) for c, n in taken.counts.items() if n], "measure string, n long")
+    left = taken.table.agg(
+        F.count(F.lit(1)).alias("kept"), F.count("resolved_at").alias("with_resolved_at"), F.count("csat_response").alias("with_response")
+    )
+    aside = taken.rejected.agg(F.count_if(F.array_contains("_unparsed", "created_at")).alias("aside_for_created_at"))
+    rows = [
+        df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("n")) for c in df.columns])).alias("m")).select("m.*")
+        for df in (left, aside)
+    ]
+    return present(observed.unionByName(rows[0]).unionByName(rows[1]))
+
+
+@query
+def job_resumed(d: Desk) -> DataFrame:
+    """Single steps that start from saved tables: the manifest after a run of two steps and a later run of the third without inputs."""
+    from replyscope.plans.job import manifest, run
+
+    out = work_folder(d.spark, "job_resumed")
+    run(d.tickets, d.macros, d.usage_only, out, ["clean", "features"])
+    run(None, None, None, out, ["score"], spark=d.spark)
+    return present(manifest(d.spark, out), "table", "step", "n_rows")
+
+
 @query
 def sink_table(d: Desk) -> DataFrame:
     """Macro uses partitioned by month and read back for one year: other months are pruned."""
