@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, StandardScaler
@@ -14,10 +16,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyscope.functions.text import title_case
-from replyscope.operators.blocks import BLOCK, cells, matrix, over_cells, split
+from replyscope.operators.blocks import BLOCK, matrix
 from replyscope.operators.ranking import grouped_quantile
 from replyscope.operators.texts import TfidfModel
 from replyscope.schemas import NUM_CLUSTERS, SEED
+from replyscope.sources.tables import stage
 
 
 def fit_kmeans(
@@ -103,48 +106,22 @@ def cluster_summary(clustered: DataFrame) -> DataFrame:
     return summary.join(median, keys, "left").withColumn("consolidation_candidate", F.coalesce(flag, F.lit(False)))
 
 
-def silhouettes(points: DataFrame, id_col: str, v: str, labels: str, block: int = BLOCK) -> DataFrame:
-    """Exact Euclidean silhouette of every point under each of several labelings.
+def silhouettes(
+    points: DataFrame, id_col: str, v: str, labels: str, block: int = BLOCK, squared: bool = False
+) -> DataFrame:
+    """Euclidean silhouette of every point under each of several labelings: (id, labeling, cluster, silhouette).
 
-    ``labels`` is an array of cluster numbers, one per labeling. Cells add up the distances from each
-    point to each cluster, so pairs never leave a cell; a point alone in its cluster scores 0. Output:
-    (id, labeling, cluster, silhouette).
+    ``labels`` is an array of cluster numbers, one per labeling. A point alone in its cluster scores 0. The exact form
+    compares all pairs: a block of points stays in its task while all others stream by, and one row a point and cluster
+    leaves it. ``squared`` uses squared distances instead, which follow from the clusters' sizes, sums and square sums,
+    so that the work is linear in the points.
     """
-    kind = points.schema[id_col].dataType.simpleString()
     rows = points.select(F.col(id_col).alias("id"), F.col(v).cast("array<double>").alias("v"),
                          F.col(labels).cast("array<int>").alias("l"))
     sizes = rows.select(F.posexplode("l").alias("labeling", "cluster")).groupBy("labeling", "cluster").agg(
         F.count(F.lit(1)).alias("size")
     )
-
-    def sums(a: pa.Table, b: pa.Table, distance: np.ndarray) -> pa.Table:
-        groups = matrix(b.column("l")).astype(np.int64)
-        out = {"id": [], "labeling": [], "cluster": [], "d": []}
-        for g in range(groups.shape[1]):
-            present, where = np.unique(groups[:, g], return_inverse=True)
-            total = distance @ np.eye(len(present))[where]
-            out["id"].append(a.column("id").combine_chunks().take(pa.array(np.repeat(np.arange(len(a)), len(present)))))
-            out["labeling"].append(np.full(total.size, g, dtype=np.int32))
-            out["cluster"].append(np.tile(present, len(a)).astype(np.int32))
-            out["d"].append(total.ravel())
-        return pa.table({
-            "id": pa.chunked_array(out["id"]), "labeling": np.concatenate(out["labeling"]),
-            "cluster": np.concatenate(out["cluster"]), "d": np.concatenate(out["d"]),
-        })
-
-    def work(table: pa.Table) -> pa.Table:
-        first, second, same = split(table)
-        x, y = matrix(first.column("v")), matrix(second.column("v"))
-        squared = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T
-        distance = np.sqrt(np.maximum(squared, 0))
-        if same:
-            np.fill_diagonal(distance, 0)
-            return sums(first, second, distance)
-        one, two = sums(first, second, distance), sums(second, first, distance.T)
-        return pa.concat_tables([one, two])
-
-    totals = over_cells(cells(rows, "id", block), work, f"id {kind}, labeling int, cluster int, d double")
-    totals = totals.groupBy("id", "labeling", "cluster").agg(F.sum("d").alias("d"))
+    totals = _squared_totals(rows, stage(sizes)) if squared else _distance_totals(rows, block)
     own = rows.select("id", F.posexplode("l").alias("labeling", "own"))
     placed = totals.join(sizes, ["labeling", "cluster"]).join(own, ["id", "labeling"])
     mine = F.col("cluster") == F.col("own")
@@ -161,6 +138,99 @@ def silhouettes(points: DataFrame, id_col: str, v: str, labels: str, block: int
     )
 
 
+def _distance_totals(rows: DataFrame, block: int) -> DataFrame:
+    """Sums of distances from each point to each cluster of each labeling: id, labeling, cluster, d.
+
+    Blocks of at most about ``block`` points are dealt to tasks; each is followed by all points, batch by batch. A task holds one block, one
+    batch and the sums of the block.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = F.count(F.lit(1))
+    # few points still make a block for each task, of 64 at least
+    k = F.greatest(F.ceil(n / F.lit(float(block))), F.least(F.lit(parts), F.ceil(n / F.lit(64.0))), F.lit(1)).cast("int")
+    sized = rows.withColumn("_k", rows.agg(k.alias("k")).scalar())
+    own = sized.withColumn("_block", F.pmod(F.xxhash64("id"), F.col("_k")).cast("int")).withColumn("_side", F.lit(0))
+    passing = sized.withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_k") - 1))).withColumn("_side", F.lit(1))
+    columns = ["_block", "_side", "id", "v", "l"]
+    dealt = own.select(*columns).unionByName(passing.select(*columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, members, sums = None, [], None
+        for batch in batches:
+            blocks = np.asarray(batch.column(0))
+            cuts = [0, *(np.nonzero(np.diff(blocks))[0] + 1).tolist(), len(blocks)]
+            for first, last in zip(cuts, cuts[1:]):
+                part = pa.Table.from_batches([batch.slice(first, last - first)])
+                if not len(part):
+                    continue
+                if blocks[first] != at:
+                    if sums is not None:
+                        yield from sums.rows(kind)
+                    at, members, sums = blocks[first], [], None
+                side = np.asarray(part.column("_side"))
+                if (side == 0).any():
+                    members.append(part.filter(pa.array(side == 0)))
+                stream = part.filter(pa.array(side == 1))
+                if len(stream) and members:
+                    sums = sums or _BlockSums(pa.concat_tables(members))
+                    sums.add(stream)
+        if sums is not None:
+            yield from sums.rows(kind)
+
+    ordered = dealt.repartition(parts, "_block").sortWithinPartitions("_block", "_side")
+    return ordered.mapInArrow(run, f"id {kind}, labeling int, cluster int, d double")
+
+
+class _BlockSums:
+    """Distance sums of a block's points, growing with each cluster met."""
+
+    def __init__(self, block: pa.Table):
+        self.ids, self.x = block.column("id").combine_chunks(), matrix(block.column("v"))
+        self.square = (self.x * self.x).sum(1)[:, None]
+        self.sums: dict[tuple[int, int], np.ndarray] = {}
+
+    def add(self, stream: pa.Table) -> None:
+        y, labels = matrix(stream.column("v")), matrix(stream.column("l")).astype(np.int64)
+        distance = np.sqrt(np.maximum(self.square + (y * y).sum(1)[None, :] - 2 * self.x @ y.T, 0))
+        at = pc.index_in(stream.column("id").combine_chunks(), value_set=self.ids)
+        own = np.nonzero(np.asarray(at.is_valid()))[0]
+        distance[np.asarray(at.fill_null(0))[own], own] = 0  # whatever rounding leaves of a point's distance to itself
+        for g in range(labels.shape[1]):
+            present, where = np.unique(labels[:, g], return_inverse=True)
+            total = distance @ np.eye(len(present))[where]
+            for c, cluster in enumerate(present.tolist()):
+                self.sums[g, cluster] = self.sums.get((g, cluster), 0) + total[:, c]
+
+    def rows(self, kind: str) -> Iterator[pa.RecordBatch]:
+        n = len(self.ids)
+        for (labeling, cluster), d in self.sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [self.ids, pa.array(np.full(n, labeling, dtype=np.int32)), pa.array(np.full(n, cluster, dtype=np.int32)), pa.array(d)],
+                names=["id", "labeling", "cluster", "d"],
+            )
+
+
+def _squared_totals(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Sums of squared distances from each point to each cluster: n |x|^2 - 2 x.sum + sum of squares; id, labeling, cluster, d.
+
+    The clusters' sums are of the size of labelings times clusters times dimensions and travel to every row in one array.
+    """
+    labelled = rows.select("v", F.posexplode("l").alias("labeling", "cluster"))
+    each = labelled.select("labeling", "cluster", F.posexplode("v").alias("at", "x"))
+    per = each.groupBy("labeling", "cluster", "at").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"))
+    facts = per.groupBy("labeling", "cluster").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("at", "s"))), lambda e: e["s"]).alias("s"), F.sum("q").alias("q")
+    ).join(sizes, ["labeling", "cluster"])
+    every = facts.agg(F.collect_list(F.struct("labeling", "cluster", "s", "q", "size")).alias("f"))
+    described = rows.withColumn("_f", every.scalar()).select("id", "v", F.explode("_f").alias("f"))
+    zero = F.lit(0.0)
+    square = F.aggregate("v", zero, lambda acc, x: acc + x * x)
+    product = F.aggregate(F.zip_with("v", "f.s", lambda x, y: x * y), zero, lambda acc, x: acc + x)
+    total = F.col("f.size") * square - 2.0 * product + F.col("f.q")
+    return described.select("id", "f.labeling", "f.cluster", F.greatest(total, zero).alias("d"))
+
+
 def silhouette_by_cluster(points: DataFrame) -> DataFrame:
     """Mean silhouette and size per cluster, and the overall mean under cluster -1."""
     per = points.groupBy("cluster").agg(F.avg("silhouette").alias("silhouette"), F.count(F.lit(1)).alias("size"))
