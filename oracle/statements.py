@@ -1,6 +1,7 @@
 """One check statement per registered query that SQL can express."""
 
 from oracle.common import BASE, MACROS, SCORED, TICKETS, USAGE, r, statement
+from replyscope.plans.spoiled import SPOILED
 
 STATEMENTS: dict[str, str] = {}
 
@@ -121,6 +122,65 @@ STATEMENTS["check_cluster_rows"] = statement("""SELECT DISTINCT
  CAST(regexp_extract(owner_team, '[0-9]+') AS BIGINT) AS cluster_id, owner_team AS cluster_label,
  '' AS violations, true AS is_valid FROM macros""")
 
+def rule_counts(table: str, key: str, source: str, rules: dict[str, str], parts=BASE) -> str:
+    """Rows of a spoiled table that break each rule, and rows that break none."""
+    columns = dict.fromkeys(c for c, _, _ in SPOILED[table])
+    spoiled = ", ".join(
+        "CASE " + " ".join(f"WHEN k % {m} = 0 THEN {bad}" for c, m, bad in SPOILED[table] if c == column) + f" ELSE {column} END AS {column}"
+        for column in columns
+    )
+    names = ", ".join(f"CASE WHEN {rule} THEN '{name}' END" for name, rule in rules.items())
+    return statement(f"""SELECT rule, count(*) AS n FROM (SELECT unnest(CASE WHEN len(broken) = 0 THEN [''] ELSE broken END) AS rule FROM
+ (SELECT list_filter([{names}], lambda x: x IS NOT NULL) AS broken FROM spoiled)) GROUP BY 1""",
+        parts, [f"keyed AS (SELECT *, {key} AS k FROM {source})", f"spoiled AS (SELECT {spoiled} FROM keyed)"])
+
+
+def missing(*columns: str) -> dict[str, str]:
+    return {f"{c}_missing": f"{c} IS NULL" for c in columns}
+
+
+def below(bound: int, *columns: str) -> dict[str, str]:
+    return {f"{c}_below_{bound}": f"{c} < {bound}" for c in columns}
+
+
+def outside(low: int, high: int, *columns: str) -> dict[str, str]:
+    return {f"{c}_out_of_range": f"{c} < {low} OR {c} > {high}" for c in columns}
+
+
+STATEMENTS["check_ticket_rules"] = rule_counts(
+    "tickets", "ticket_id", "(SELECT *, ticket_id % 9 AS replies_count FROM tickets)",
+    missing("ticket_id", "created_at", "status", "channel", "priority", "contact_driver", "agent_id", "first_response_time_minutes",
+            "total_handle_time_minutes", "replies_count", "reopens_count")
+    | {"status_not_allowed": "lower(status) NOT IN ('open', 'solved', 'closed', 'pending')",
+       "priority_not_allowed": "lower(priority) NOT IN ('low', 'normal', 'high', 'urgent')",
+       "channel_not_allowed": "lower(channel) NOT IN ('email', 'chat', 'phone', 'webform')"}
+    | below(0, "first_response_time_minutes", "total_handle_time_minutes", "replies_count", "reopens_count")
+    | outside(1, 5, "csat_score"))
+STATEMENTS["check_macro_rules"] = rule_counts(
+    "macros", "macro_id", "macros",
+    missing("macro_id", "macro_name", "category", "macro_body", "created_at", "updated_at", "owner_team")
+    | {"category_not_allowed": "lower(category) NOT IN ('economy', 'large', 'medium', 'promo', 'small')",
+       "macro_name_empty": "macro_name = ''", "macro_body_empty": "macro_body = ''"})
+STATEMENTS["check_usage_rules"] = rule_counts(
+    "macro_usage", "ticket_id", "(SELECT *, 'email' AS channel FROM macro_usage)",
+    missing("ticket_id", "macro_id", "applied_at", "position_in_thread", "agent_id", "channel") | below(1, "position_in_thread"))
+VALID_SCORE = """(SELECT macro_id, 'x' AS macro_name, 'x' AS category, 1 AS usage_count, 4.0E0 AS avg_csat, 9.0E0 AS avg_handle_time,
+ 0.1E0 AS reopen_rate, 50.0E0 AS csat_component, 50.0E0 AS handle_time_component, 50.0E0 AS reopen_component,
+ 50.0E0 AS macro_effectiveness_index, 50.0E0 AS effectiveness_percentile, 'x' AS macro_category, true AS has_sufficient_usage FROM macros)"""
+STATEMENTS["check_score_rules"] = rule_counts(
+    "scores", "macro_id", VALID_SCORE,
+    missing("macro_id", "macro_name", "category", "usage_count", "avg_csat", "avg_handle_time", "reopen_rate", "csat_component",
+            "reopen_component", "macro_effectiveness_index", "macro_category", "has_sufficient_usage")
+    | below(0, "usage_count", "avg_handle_time") | outside(0, 5, "avg_csat") | outside(0, 1, "reopen_rate")
+    | outside(0, 100, "csat_component", "handle_time_component", "macro_effectiveness_index", "effectiveness_percentile"))
+VALID_CLUSTER = """(SELECT DISTINCT CAST(regexp_extract(owner_team, '[0-9]+') AS BIGINT) AS cluster_id, owner_team AS cluster_label, 9 AS num_macros,
+ 9 AS total_usage, 1 AS num_underused_gems, 1 AS num_low_effectiveness, 50.0E0 AS avg_effectiveness, 50.0E0 AS median_effectiveness,
+ 5.0E0 AS avg_usage, true AS consolidation_candidate FROM macros)"""
+STATEMENTS["check_cluster_rules"] = rule_counts(
+    "clusters", "cluster_id", VALID_CLUSTER,
+    missing("cluster_label", "num_macros", "num_underused_gems", "median_effectiveness", "consolidation_candidate")
+    | below(0, "num_macros", "total_usage", "num_low_effectiveness", "avg_usage") | outside(0, 100, "avg_effectiveness"))
+
 STATEMENTS["data_audit"] = statement("""SELECT count(*) AS n_tickets,
  count(*) FILTER (csat_score IS NULL) AS null_csat,
  count(ticket_id) = count(DISTINCT ticket_id) AS unique_ticket_ids,
@@ -466,6 +526,11 @@ STATEMENTS["rule_recommendations"] = statement(f"""SELECT ticket_type, row_numbe
 STATEMENTS["quick_wins"] = statement(f"""SELECT macro_id, {rr('macro_effectiveness_index')}, usage_count FROM indexed
  WHERE macro_effectiveness_index > 60
  AND usage_count < (SELECT quantile_cont(CAST(usage_count AS DOUBLE), 0.5) FROM indexed)""", SCORED)
+STATEMENTS["low_usage"] = statement("SELECT macro_id, macro_name, usage_count FROM indexed WHERE usage_count < 5", SCORED)
+STATEMENTS["macro_sequence_steps"] = statement("""SELECT ticket_id, u.i AS position, u.m AS macro_id
+ FROM tickets, unnest(string_split(macro_sequence, ',')) WITH ORDINALITY AS u(m, i) WHERE macro_sequence <> ''""", BASE)
+STATEMENTS["short_names"] = statement("""SELECT macro_id, left(macro_name || ' ' || category || ' ' || macro_name, 30) AS short_name,
+ left(macro_name || ' ' || category || ' ' || macro_name, 50) AS export_name FROM macros""", BASE)
 STATEMENTS["action_items_export"] = statement(f"""SELECT macro_id, macro_name, category, {rr('macro_effectiveness_index')},
  usage_count FROM scores WHERE effectiveness_level = 'Low' OR usage_count < 5""", SCORED)
 STATEMENTS["eval_landscape"] = statement(f"""SELECT count(*) AS total_macros, count(*) FILTER (is_active) AS active_macros,
@@ -550,6 +615,8 @@ STATEMENTS["cluster_display"] = statement(f"""SELECT cluster_id, cluster_label,
  {rr('avg_effectiveness')}, consolidation_candidate FROM clusters""", SCORED, [CLUSTERS])
 STATEMENTS["consolidation_candidates"] = statement(
     "SELECT cluster_id, cluster_label, num_macros FROM clusters WHERE consolidation_candidate", SCORED, [CLUSTERS])
+STATEMENTS["consolidation_review"] = statement("""SELECT cluster_id, cluster_label, num_macros FROM clusters
+ WHERE num_macros >= 5 AND avg_effectiveness < 75""", SCORED, [CLUSTERS])
 
 # --- experiments -------------------------------------------------------------------------------
 

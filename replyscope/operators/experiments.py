@@ -51,10 +51,11 @@ def ab_batch(
     min_samples: int = 30,
     threshold: float = 0.3,
     alpha: float = 0.05,
+    max_pairs: int = 100,
 ) -> DataFrame:
-    """Comparable pairs of one category with enough uses, compared. The pairs number at most 100."""
+    """Comparable pairs of one category with enough uses, compared: the first ``max_pairs`` comparable ones."""
     stats = macro_stats(usage, tickets)
-    pairs = band_pairs(scores, True, threshold).select("macro_a", "macro_b")
+    pairs = band_pairs(scores, True, threshold, max_pairs).select("macro_a", "macro_b")
 
     def side(s: str) -> DataFrame:
         return stats.select(

@@ -165,6 +165,11 @@ def consolidation_candidates(cluster_summary: DataFrame) -> DataFrame:
     return cluster_summary.where("consolidation_candidate")
 
 
+def consolidation_review(cluster_summary: DataFrame, min_macros: int, below: float) -> DataFrame:
+    """Clusters of enough macros whose mean effectiveness is below a bar of the caller's."""
+    return cluster_summary.where((F.col("num_macros") >= min_macros) & (F.col("avg_effectiveness") < below))
+
+
 def macro_summary(scores: DataFrame) -> DataFrame:
     columns = ["macro_id", "macro_name", "category", "cluster_label", "macro_effectiveness_index",
                "usage_count", "effectiveness_level", "has_sufficient_usage"]

@@ -28,6 +28,7 @@ from replyscope.operators import (
     trends,
 )
 from replyscope.plans.desk import Desk
+from replyscope.plans.spoiled import broken_rules, spoil
 from replyscope.schemas import TICKETS
 from replyscope.sources.tables import (
     ingest_csv,
@@ -156,6 +157,34 @@ def check_cluster_rows(d: Desk) -> DataFrame:
     return _with_violations(quality.check_cluster_rows(topics.cluster_summary(d.owned)), "cluster_id", "cluster_label")
 
 
+@query
+def check_ticket_rules(d: Desk) -> DataFrame:
+    """Rows that break each rule of the ticket check, on tickets spoiled for every rule."""
+    tickets = d.tickets.withColumn("replies_count", (F.col("ticket_id") % 9).cast("int"))
+    return broken_rules(quality.check_ticket_rows(spoil(tickets, "tickets", "ticket_id")))
+
+
+@query
+def check_macro_rules(d: Desk) -> DataFrame:
+    return broken_rules(quality.check_macro_rows(spoil(d.macros, "macros", "macro_id"), PART_CATEGORIES))
+
+
+@query
+def check_usage_rules(d: Desk) -> DataFrame:
+    uses = d.usage.withColumn("channel", F.lit("email"))
+    return broken_rules(quality.check_usage_rows(spoil(uses, "macro_usage", "ticket_id")))
+
+
+@query
+def check_score_rules(d: Desk) -> DataFrame:
+    return broken_rules(quality.check_score_rows(spoil(d.categorized, "scores", "macro_id")))
+
+
+@query
+def check_cluster_rules(d: Desk) -> DataFrame:
+    return broken_rules(quality.check_cluster_rows(spoil(topics.cluster_summary(d.owned), "clusters", "cluster_id")))
+
+
 @query
 def data_audit(d: Desk) -> DataFrame:
     return quality.data_audit(d.raw_tickets, d.macros, d.usage_only)
@@ -543,6 +572,28 @@ def quick_wins(d: Desk) -> DataFrame:
     return present(recommend.quick_wins(d.indexed, 60.0), "macro_id", "macro_effectiveness_index", "usage_count")
 
 
+@query
+def low_usage(d: Desk) -> DataFrame:
+    """Macros with fewer uses than a score needs: the second list of the quick wins."""
+    return present(recommend.low_usage(d.indexed), "macro_id", "macro_name", "usage_count")
+
+
+@query
+def macro_sequence_steps(d: Desk) -> DataFrame:
+    """The macros of each ticket's sequence, one row a place."""
+    steps = d.tickets.where("macro_sequence <> ''").select(
+        "ticket_id", F.posexplode(F.split("macro_sequence", ",")).alias("at", "macro_id")
+    )
+    return present(steps.select("ticket_id", (F.col("at") + 1).alias("position"), "macro_id"))
+
+
+@query
+def short_names(d: Desk) -> DataFrame:
+    """Names cut for lists: 30 characters for the console, 50 for exports."""
+    name = F.concat_ws(" ", "macro_name", "category", "macro_name")
+    return present(d.macros.select("macro_id", F.substring(name, 1, 30).alias("short_name"), F.substring(name, 1, 50).alias("export_name")))
+
+
 @query
 def action_items_export(d: Desk) -> DataFrame:
     return present(recommend.action_items_export(d.indexed))
@@ -644,6 +695,12 @@ def consolidation_candidates(d: Desk) -> DataFrame:
     return present(reports.consolidation_candidates(topics.cluster_summary(d.owned)), "cluster_id", "cluster_label", "num_macros")
 
 
+@query
+def consolidation_review(d: Desk) -> DataFrame:
+    """Clusters to review with a higher bar than the candidates: five macros or more, mean effectiveness below 75."""
+    return present(reports.consolidation_review(topics.cluster_summary(d.owned), 5, 75.0), "cluster_id", "cluster_label", "num_macros")
+
+
 @query
 def cluster_summary(d: Desk) -> DataFrame:
     return present(topics.cluster_summary(d.owned))
@@ -904,6 +961,15 @@ def pca_2d(d: Desk) -> DataFrame:
     return present(projected)
 
 
+@query
+def pca_centres(d: Desk) -> DataFrame:
+    """Cluster centres on the two components, with each component's share of the variance (the last row, cluster -1)."""
+    vectors = stage(_embeddings(d))
+    _, centres, shares = topics.pca_2d(vectors, "vec_id", topics.fit_kmeans(vectors.select("vec_id", "features"), 4, restarts=3))
+    share = d.spark.createDataFrame([(-1, *shares)], "cluster_id int, pc1 double, pc2 double")
+    return present(centres.select(F.col("cluster_id").cast("int").alias("cluster_id"), "pc1", "pc2").unionByName(share))
+
+
 # --- prediction ---------------------------------------------------------------------------------------
 
 
