@@ -95,29 +95,30 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def features(docs: DataFrame, width: int, row_key: str | None = None) -> DataFrame:
-    """doc_id, uid (the row key, else a number), n_shingles, digest of the set, band keys (null without words)."""
+    """doc_id, uid (the row key, else a number), mark (a hash of the text), n_shingles, digest of the set, band keys (null without words)."""
 
     def make():
         tool = shingler(width)
 
-        def row(doc_id, uid, text):
+        def row(doc_id, uid, mark, text):
             found = tool.shingles(text)
             if len(found):
-                yield doc_id, uid, len(found), _digest(found), tool.bands(tool.signature(found)).tolist()
+                yield doc_id, uid, mark, len(found), _digest(found), tool.bands(tool.signature(found)).tolist()
             else:
-                yield doc_id, uid, 0, None, None
+                yield doc_id, uid, mark, 0, None, None
 
         return row
 
     uid = F.col(f"`{row_key}`").cast("long") if row_key else F.monotonically_increasing_id()
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), uid.alias("uid"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id bigint, uid bigint, n_shingles bigint, digest binary, bands array<bigint>"
-    return map_rows(narrow, make, schema, ["doc_id", "uid", "text"])
+    text = F.col("text").cast("string")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), uid.alias("uid"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    schema = "doc_id bigint, uid bigint, mark bigint, n_shingles bigint, digest binary, bands array<bigint>"
+    return map_rows(narrow, make, schema, ["doc_id", "uid", "mark", "text"])
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, width: int, row_key: str | None = None) -> DataFrame:
     """node, n, sig (a byte of each coordinate), set: of the classes in ``wanted`` (node, digest, home: a row key, else
-    a doc_id)."""
+    a doc_id, mark: the text's hash). A row meets the one class whose head has its id and its text, however often the id stands."""
 
     def make():
         tool = shingler(width)
@@ -129,9 +130,11 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, width: int, row_key: str
 
         return row
 
-    texts = docs.select(F.col(f"`{row_key or 'doc_id'}`").cast("long").alias("home"), F.col("text").cast("string").alias("text"))
-    same = F.col("home").eqNullSafe(F.col("at_home"))
-    joined = texts.join(wanted.withColumnRenamed("home", "at_home"), same).select("node", "digest", "text")
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col(f"`{row_key or 'doc_id'}`").cast("long").alias("home"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    heads = wanted.select("node", "digest", F.col("home").alias("at_home"), F.col("mark").alias("at_mark"))
+    same = F.col("home").eqNullSafe(F.col("at_home")) & (F.col("mark") == F.col("at_mark"))
+    joined = texts.join(heads, same).select("node", "digest", "text")
     found = map_rows(joined, make, "node bigint, n bigint, sig binary, set array<bigint>", ["node", "digest", "text"])
     return found.dropDuplicates(["node"])
 
@@ -270,13 +273,13 @@ def near_duplicates(
     classes = keep(worded.groupBy("digest").agg(F.min("uid").alias("node")), "classes")
     heads = keep(
         worded.join(classes.select("node", F.col("digest").alias("d")), (F.col("uid") == F.col("node")) & (F.col("digest") == F.col("d")))
-        .select("node", "digest", F.col("uid" if row_key else "doc_id").alias("home"), "bands"),
+        .select("node", "digest", F.col("uid" if row_key else "doc_id").alias("home"), "mark", "bands"),
         "heads",
     )
     buckets = heads.select("node", F.explode("bands").alias("key"))
     shared = keep(buckets.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1"), "shared")
     members = keep(buckets.join(shared, "key").select("key", "node", "size", "pivot"), "members")
-    wanted = heads.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest", "home")
+    wanted = heads.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest", "home", "mark")
     sets = keep(candidate_sets(docs, wanted, width, row_key), "sets")
 
     pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()

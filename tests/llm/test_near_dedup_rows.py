@@ -20,3 +20,19 @@ def test_rows_not_ids(spark):
     assert got.columns == docs.columns
     want = [(1, copied), (None, alone), (7, lost), (9, hot), (None, nameless), (3, None), (3, ""), (None, None)]
     assert Counter(tuple(r) for r in got.collect()) == Counter(want)
+
+
+def test_a_hot_id_with_many_texts_is_linear(spark):
+    """A third of the rows share an id, some the null id, with different texts: each is compared by its own text."""
+    from pyspark.sql import functions as F
+
+from replyscope.llm import circulant_minhash
+
+    rows = [(5 if i % 3 == 0 else None if i % 3 == 1 else i, " ".join(f"w{i // 2}x{j}" for j in range(12))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = circulant_minhash.features(docs, 4)
+    wanted = found.selectExpr("uid as node", "digest", "doc_id as home", "mark")
+    one_class = wanted.groupBy("digest").agg(F.min_by(F.struct("node", "home", "mark"), "node").alias("w")).select("digest", "w.*")
+    assert circulant_minhash.candidate_sets(docs, one_class, 4).count() == 300
+    got = circulant_minhash.near_duplicates(docs, width=4).collect()
+    assert len(got) == 600 and {r.n_shingles for r in got} == {9}
