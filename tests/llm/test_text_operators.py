@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 import regex
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from replyscope.llm import bpe_automaton, encoding, histogram_shards, license_scan, line_windows, packing, token_counts
@@ -189,6 +190,26 @@ def test_shards(spark, docs, odd_docs, no_docs):
     assert max(abs(sizes[k] - mean) for k in range(40)) <= largest + 0.002 * mean
 
 
+def test_shards_of_one_repeated_row(spark):
+    """A third of the rows are one row: all 40 shards are near-equal all the same, in one exchange along the splitters."""
+    rows = spark.range(9000).selectExpr(
+        "case when id % 3 = 0 then 7 else id end as doc_id", "case when id % 3 = 0 then 'one repeated row' else concat('text ', id) end as text",
+        "1 as _piece", "2 as slot",
+    )
+    sizes, largest, mean = check_shards(rows.select("doc_id", "text"), 40)
+    assert len(sizes) == 40 and max(abs(sizes[k] - mean) for k in range(40)) <= largest + 0.002 * mean
+    many = histogram_shards.shard_by_bytes(rows, F.lit(10), histogram_shards.sort_key(F.col("text")), shards=3)
+    assert many.columns == ["doc_id", "text", "_piece", "shard", "slot"] and many.where("_piece <> 1").count() == 0
+    found = {r.shard: r["count"] for r in many.groupBy("shard").count().collect()}
+    assert sorted(found) == [0, 1, 2] and all(abs(n - 3000) <= 3 for n in found.values())
+
+
+def test_shards_in_pieces(spark, docs, monkeypatch):
+    monkeypatch.setattr(histogram_shards, "PIECE_ROWS", 7)
+    sizes, largest, mean = check_shards(docs, 5)
+    assert all(abs(sizes[k] - mean) <= largest + 0.01 * mean for k in range(5))
+
+
 def brute_lines(rows):
     """rows: (doc_id, text) with distinct ids."""
     seen, out = set(), {}
