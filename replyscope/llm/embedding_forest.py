@@ -195,7 +195,7 @@ class _Links:
             return pd.DataFrame({"node": nodes, "class": nodes[home], "angle": angle, "centre": rows["vec"].to_numpy()[home]})
 
         placed = keep(
-            self.reps.mapInPandas(place, "node long, vec array<float>, copies long, cell long, ball long, angle double, wide long"), "placed"
+            self.reps.mapInPandas(place, f"node long, vec {self.reps.schema['vec'].dataType.simpleString()}, copies long, cell long, ball long, angle double, wide long"), "placed"
         )
         within = placed.where("ball >= 0")
         centres = self.reps.sparkSession.createDataFrame(
@@ -368,6 +368,12 @@ class _Links:
         )
 
 
+def in_range(vector: list[float]) -> list[float]:
+    """The vector, times a power of two if its squares would leave the range of doubles: its direction is the same."""
+    power = math.frexp(max(map(abs, vector)))[1]
+    return vector if abs(power) < 300 else [math.ldexp(v, -power) for v in vector]
+
+
 def near_duplicate_vectors(
     vectors: DataFrame, cosine: float = 0.9, trees: int = TREES, id_column: str = "vec_id", vector_column: str = "embedding", seed: int = 11
 ) -> DataFrame:
@@ -389,13 +395,14 @@ def near_duplicate_vectors(
         def row(name, vector):
             ok = vector is not None and len(vector) > 0 and all(v is not None and math.isfinite(v) for v in vector)
             ok = ok and any(v != 0 for v in vector)
-            yield name, [float(v) for v in vector] if ok else None, len(vector) if ok else 0
+            yield name, in_range([float(v) for v in vector]) if ok else None, len(vector) if ok else 0
 
         return row
 
-    named = vectors.select(F.col(id_column).cast("long").alias("name"), F.col(vector_column).cast("array<float>").alias("vector"))
+    kind = "array<float>" if vectors.schema[vector_column].dataType.simpleString() == "array<float>" else "array<double>"
+    named = vectors.select(F.col(id_column).cast("long").alias("name"), F.col(vector_column).cast(kind).alias("vector"))
     base = keep(
-        map_rows(named, make, "name bigint, vec array<float>, size int", ["name", "vector"]).withColumn("uid", F.monotonically_increasing_id()),
+        map_rows(named, make, f"name bigint, vec {kind}, size int", ["name", "vector"]).withColumn("uid", F.monotonically_increasing_id()),
         "vectors",
     )
     valid = base.where("size > 0").withColumn("digest", F.unhex(F.md5(F.to_json("vec").cast("binary"))))

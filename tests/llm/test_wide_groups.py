@@ -22,3 +22,12 @@ def test_wide_group_of_thousands(spark):
     assert (links <= want).all() and (links[:4000] == want[:4000]).all()
     assert links.sum() >= 0.99 * want.sum()
     assert len({got[i].component_id for i in range(4000) if want[i]}) == 1
+
+
+def test_double_vectors_keep_their_range(spark):
+    """Entries that no float can hold link as their directions do."""
+    from replyscope.llm import embedding_forest
+
+    rows = [(1, [1e300, 0.0]), (2, [3e300, 1e299]), (3, [1e-60, 0.0]), (4, [0.0, 5e-320]), (5, [0.0, 2.0]), (6, [0.0, 0.0])]
+    got = embedding_forest.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
