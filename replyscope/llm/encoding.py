@@ -9,6 +9,8 @@ from tokenizers import Tokenizer
 #: How byte-level tokenizers of this kind split a text into words.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECES_KEPT = 900_000
+#: Words that are no pieces, such as those before a comma.
+WORDS_KEPT = 100_000
 
 
 def default_tokenizer() -> str:
@@ -37,7 +39,9 @@ class Pieces(dict):
         if not piece or (piece != "\n" and re.search(r"\s", piece[1:] if piece[0] == " " else piece)) or piece == " ":
             found = None
         else:
-            found = self.encoder.words_of(piece)
+            words = self.encoder.split(piece)
+            # a piece that is one word is remembered here only
+            found = self.encoder.word(piece) if len(words) == 1 else b"".join(map(self.encoder.words.__getitem__, words))
         if len(self) >= PIECES_KEPT:
             self.clear()
         self[piece] = found
@@ -52,9 +56,11 @@ class Words(dict):
         self.encoder = encoder
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= PIECES_KEPT:
-            self.clear()
-        found = self[word] = self.encoder.word(word)
+        found = self.encoder.pieces.get(word)
+        if found is None:
+            if len(self) >= WORDS_KEPT:
+                self.clear()
+            found = self[word] = self.encoder.word(word)
         return found
 
 
