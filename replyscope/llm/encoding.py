@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 #: How byte-level tokenizers of this kind split a text into words.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-PIECES_KEPT = 900_000
+PIECES_KEPT = 700_000
 #: Words that are no pieces, such as those before a comma.
 WORDS_KEPT = 100_000
 
