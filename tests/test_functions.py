@@ -90,3 +90,14 @@ def test_sample_size(spark):
     n = value(spark, stats.sample_size(F.lit(0.5), F.lit(0.1)))
     assert 1500 < n < 1600
     assert value(spark, stats.sample_size(F.lit(0.5), F.lit(0.2))) < n
+
+
+def test_strip_takes_the_spaces_of_the_pattern_and_no_search(spark):
+    """The ends are cut as the pattern has it, without looking for it at every space of the text."""
+    odd = [" \t a  b \u3000\x85", "\u2003x\u200b ", "", "   ", "\x1c\x1fy\n\n", None, "\u00a0z\u180e", "a\u2028b\u2029"]
+    odd += [chr(k) + "m" + chr(k) for k in (*range(1, 256), *range(0x1670, 0x1690), *range(0x1FF0, 0x2070), *range(0x2FF0, 0x3010), 0xFEFF)]
+    df = spark.createDataFrame([(x,) for x in odd], "x string")
+    want = F.regexp_replace("x", f"^{X.SPACE}+|{X.SPACE}+$", "")
+    stripped = df.select("x", X.strip("x").alias("got"), want.alias("want"))
+    assert stripped.where("not got <=> want").count() == 0
+    assert "regexp" not in stripped.select("got")._jdf.queryExecution().optimizedPlan().toString()

@@ -165,3 +165,32 @@ def test_predictor(spark):
     assert everything == pytest.approx(1.0)
     with pytest.raises(ValueError):
         predict.fit_predictor(df.limit(50))
+
+
+def test_vocabulary_counts_few_pairs_of_words(spark, monkeypatch):
+    """The same terms as counting every term; pairs of rare words never reach the shuffle."""
+    import collections
+    import random
+
+    from replyscope.operators import texts as T
+
+    dealer = random.Random(5)
+    words = [f"w{dealer.randrange(1, 40) if dealer.random() < 0.7 else dealer.randrange(3_000)}" for _ in range(20_000)]
+    rows = [(" ".join(words[k : k + dealer.randrange(0, 40)]), 1 + k % 3) for k in range(0, 20_000, 40)] + [("", 2), ("one", 1), (None, 4)]
+    df = spark.createDataFrame(rows, "cleaned_text string, n long")
+    total, df_, n = collections.Counter(), collections.Counter(), sum(r[1] for r in rows)
+    for x, m in rows:
+        t = (x or "").split()
+        terms = t + [f"{a} {b}" for a, b in zip(t, t[1:])]
+        for w in terms:
+            total[w] += m
+        for w in set(terms):
+            df_[w] += m
+    emitted, real = [], T._count_terms
+    monkeypatch.setattr(T, "_count_terms", lambda k, common: emitted.append((k, common)) or real(k, common))
+    for most, min_df, max_df in ((50, 1, 1.0), (30, 3, 0.3), (9_000, 1, 1.0)):
+        model = T.fit_tfidf(df, max_features=most, min_df=min_df, max_df=max_df, copies="n", stop_words=[])
+        kept = [w for w in total if min_df <= df_[w] <= max_df * n]
+        want = sorted(sorted(kept, key=lambda w: (-total[w], w))[:most], key=lambda w: (df_[w], w))
+        assert model.terms == want and model.document_frequency == [df_[w] for w in want] and model.n_documents == n
+    assert [k for k, _ in emitted] == [1, 2] * 3 and emitted[1][1] is not None and len(emitted[1][1]) < 100
