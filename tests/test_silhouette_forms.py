@@ -54,3 +54,30 @@ def test_no_points(spark):
     one = spark.createDataFrame([(1, [2.0], [0])], "id long, v array<double>, l array<int>")
     assert [r.silhouette for r in topics.silhouettes(one, "id", "v", "l").collect()] == [0.0]
     assert topics.silhouettes(one, "id", "v", "l").groupBy().agg(F.max("cluster")).first()[0] == 0
+
+
+def test_many_clusters_are_summed_in_little_memory():
+    """A batch of 8,000 points of 8,000 clusters: the matrix of points and clusters would be 512 MB."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+
+    def table(ids, label):
+        x = rng.random((len(ids), 4))
+        return x, pa.table({"id": ids, "v": x.tolist(), "l": pa.array([[int(c)] for c in label], pa.list_(pa.int32()))})
+
+    x, block = table(list(range(16)), range(16))
+    label = rng.permutation(8_000) % 7_500
+    y, stream = table(list(range(100, 8_100)), label)
+    tracemalloc.start()
+    sums = topics._BlockSums(block)
+    sums.add(stream)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000 and len(sums.sums) == 7_500
+    far = np.sqrt(((x[:, None] - y[None]) ** 2).sum(2))
+    for c in (0, 499, 7_000):
+        assert np.allclose(sums.sums[0, c], far[:, label == c].sum(axis=1))
