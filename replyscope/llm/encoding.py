@@ -11,6 +11,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 PIECES_KEPT = 700_000
 #: Words that are no pieces, such as those before a comma.
 WORDS_KEPT = 100_000
+#: Marks that end the word before them and are words themselves.
+MARKS = frozenset(".,;:!?")
 
 
 def default_tokenizer() -> str:
@@ -27,6 +29,11 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
 
 
+def plain_letters(text: str) -> bool:
+    """Whether a text is Latin letters only, so that it is one word by ``WORD_PATTERN``, with or without a blank before it."""
+    return text.isalpha() and (text.isascii() or max(text) < "\u0250")
+
+
 class Pieces(dict):
     """Text pieces between single spaces to their ids (bytes of little-endian unsigned 32-bit numbers);
     None for pieces whose ids depend on what stands around them."""
@@ -36,7 +43,12 @@ class Pieces(dict):
         self.encoder = encoder
 
     def __missing__(self, piece: str) -> bytes | None:
-        if not piece or (piece != "\n" and re.search(r"\s", piece[1:] if piece[0] == " " else piece)) or piece == " ":
+        body = piece[1:] if piece[:1] == " " else piece
+        if plain_letters(body):  # most pieces: one word
+            found = self.encoder.word(piece)
+        elif body[-1:] in MARKS and plain_letters(body[:-1]):  # or a word and a mark
+            found = self.encoder.words[piece[:-1]] + self.encoder.words[body[-1:]]
+        elif not piece or (piece != "\n" and re.search(r"\s", piece[1:] if piece[0] == " " else piece)) or piece == " ":
             found = None
         else:
             words = self.encoder.split(piece)
@@ -91,12 +103,14 @@ class TextEncoder:
         self.special = [x["content"] for x in told.get("added_tokens", [])]
         self.model = self.tokenizer.model
         self.letters = "".join(byte_letters())
+        self.packed_ids = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.split = regex.compile(WORD_PATTERN).findall
         self.words, self.pieces = Words(self), Pieces(self)
 
     def word(self, word: str) -> bytes:
-        shown = word.encode("utf-8").decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
+        latin = word if word.isascii() else word.encode("utf-8").decode("latin-1")
+        packed = self.packed_ids
+        return b"".join([packed[t.id] for t in self.model.tokenize(latin.translate(self.letters))])
 
     def words_of(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, self.split(text)))
