@@ -95,33 +95,72 @@ class AutomatonTokenizer:
             label: i for i, label in enumerate(self.labels)
             if label and self.automaton.alive[i] and i not in self.special.values()
         }
-        self.longest = max(map(len, self.arcs))
+        # for each beginning of a label the longest arc that it begins with, and for each arc the next shorter one
+        self.sizes, self.begins, self.shorter = list(map(len, self.labels)), {}, [-1] * size
+        for label, i in sorted(self.arcs.items()):  # a label's own beginnings stand before it
+            found = -1
+            for end in range(1, len(label)):
+                beginning = label[:end]
+                found = self.begins.setdefault(beginning, self.arcs.get(beginning, found))
+            self.shorter[i] = found
+            self.begins[label] = i
+        self.packed_ids = [i.to_bytes(4, "little") for i in range(size)]
         self.numbers = [str(i) for i in range(size)]
         self.split = regex.compile(WORD_PATTERN).findall
         self.apart = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.words, self.pieces = Words(self), Pieces(self)
 
     def word_ids(self, data: bytes) -> list[int]:
-        """The one accepted path that spells ``data``: for each end, the arc that an accepted path to it ends with."""
+        """The one accepted path that spells ``data``, searched from its start: at each place the longest arc first, then shorter ones.
+
+        Every start of ``data`` has one accepted path too, so a place from which no arc leads on is on no path to the end and
+        is not tried again.
+        """
         whole = self.arcs.get(data)
         if whole is not None:
             return [whole]
-        arcs, move, n, longest = self.arcs, self.automaton.move, len(data), self.longest
-        ends = [-1] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - longest), end):
-                token = arcs.get(data[start:end])
-                if token is not None and (start == 0 or move(ends[start], token)):
-                    ends[end] = token
-                    break
-        path, at = [], n
-        while at:
-            path.append(ends[at])
-            at -= len(self.labels[ends[at]])
-        return path[::-1]
+        automaton, sizes, shorter, longest, n = self.automaton, self.sizes, self.shorter, self._longest, len(data)
+        size, known, move = automaton.size, automaton.moves.get, automaton.move
+        path, at, last, dead = [], 0, -1, set()
+        arc = longest(data, 0)
+        while True:
+            while arc >= 0:
+                if not dead or at + sizes[arc] not in dead:
+                    fits = last < 0 or known(last * size + arc)
+                    if fits or (fits is None and move(last, arc)):
+                        break
+                arc = shorter[arc]
+            if arc >= 0:
+                path.append(arc)
+                at, last = at + sizes[arc], arc
+                if at >= n:
+                    return path
+                arc = longest(data, at)
+            else:
+                if not path:
+                    raise ValueError(f"no path spells {data!r}")
+                dead.add(at)
+                arc = path.pop()
+                at, last = at - sizes[arc], path[-1] if path else -1
+                arc = shorter[arc]
+
+    def _longest(self, data: bytes, at: int) -> int:
+        """The longest arc whose label stands at a place; -1 if there is none."""
+        begins = self.begins
+        end = at + 3
+        found = begins.get(data[at:end])  # most places have three bytes that begin a label
+        if found is None:
+            return begins.get(data[at : at + 2], begins.get(data[at : at + 1], -1))
+        for end in range(end + 1, len(data) + 1):
+            arc = begins.get(data[at:end])
+            if arc is None:
+                break
+            found = arc
+        return found
 
     def word(self, word: str) -> bytes:
-        return np.array(self.word_ids(word.encode("utf-8")), dtype="<u4").tobytes()
+        packed = self.packed_ids
+        return b"".join([packed[i] for i in self.word_ids(word.encode("utf-8"))])
 
     def words_of(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, self.split(text)))
