@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from replyscope.llm.chunks import ChunkNumbers, keep_in_buckets
 from replyscope.llm.common import small_batches
-from replyscope.llm.encoding import WORD_PATTERN, byte_letters, default_tokenizer
+from replyscope.llm.encoding import MARKS, WORD_PATTERN, byte_letters, default_tokenizer, plain_letters
 
 #: A stretch ends before a blank that stands alone between other characters: no token of either kind spans that place.
 STRETCH = re.compile(r"\s*\S*(?:(?! \S)\s+\S*)*")
@@ -37,13 +37,14 @@ def gallop(short: list[int], long: list[int]) -> list[tuple[int, int]]:
     The first, shorter list drives: from the last place in the second list steps double until they pass the value, and a
     binary search in the last step finds it.
     """
-    found, low = [], 0
+    found, low, n = [], 0, len(long)
     for i, value in enumerate(short):
         step, high = 1, low
-        while high < len(long) and long[high] < value:
+        while high < n and long[high] < value:
             low, high, step = high + 1, high + step, 2 * step
-        low = bisect_left(long, value, low, min(high + 1, len(long)))
-        if low == len(long):
+        if low < high:  # else the first or second place tried is the one
+            low = bisect_left(long, value, low, min(high + 1, n))
+        if low >= n:
             break
         if long[low] == value:
             found.append((i, low))
@@ -79,8 +80,10 @@ class Aligner:
         self.lengths_a = np.zeros(max(self.bytes_a) + 1, dtype=np.int64)
         self.lengths_a[list(self.bytes_a)] = [len(x) for x in self.bytes_a.values()]
         self.lengths_b = np.array([len(x) for x in self.bytes_b])
+        self.packed = [i.to_bytes(4, "little") for i in range(len(self.lengths_a))]
+        self.numbers = [str(i) for i in range(max(len(self.lengths_a), len(self.lengths_b)))]
         self.split = regex.compile(WORD_PATTERN).findall
-        self.short: dict[str, list[int]] = {}
+        self.short: dict[str, bytes] = {}
         self.young: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
 
@@ -88,18 +91,22 @@ class Aligner:
         piece = self.pieces.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def ids_a(self, text: str) -> list[int]:
+    def ids_a(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit numbers."""
         if text[1:].isalpha() and text[0] == " ":  # one word, as most stretches
             return self.word_a(text)
-        return [i for w in self.split(text) for i in self.word_a(w)]
-
-    def word_a(self, word: str) -> list[int]:
-        known = self.short.get(word)
-        if known is None:
-            shown = "Ġ" + word[1:] if word.isascii() and word[1:].isalpha() and word[0] == " " else word.encode().decode("latin-1").translate(self.letters)
-            known = [t.id for t in self.model.tokenize(shown)]
-            if len(word) < 3:
-                self.short[word] = known
+        if text[-1] in MARKS and text[0] == " " and plain_letters(text[1:-1]):
+            return self.word_a(text[:-1]) + self.word_a(text[-1])
+        return b"".join(map(self.word_a, self.split(text)))
+
+    def word_a(self, word: str) -> bytes:
+        if len(word) < 3 and word in self.short:
+            return self.short[word]
+        latin = word if word.isascii() else word.encode().decode("latin-1")
+        packed = self.packed
+        known = b"".join([packed[t.id] for t in self.model.tokenize(latin.translate(self.letters))])
+        if len(word) < 3:
+            self.short[word] = known
         return known
 
     def known(self, stretches: list[str]) -> list[tuple | None]:
@@ -119,36 +126,52 @@ class Aligner:
         The stretches are laid end to end, as each one ends with an end of both kinds, and searched together.
         """
         a, b = [self.ids_a(t) for t in texts], self.pieces.encode([t[1:] for t in texts], num_threads=1)
-        fits = [
-            b"".join(map(self.bytes_a.__getitem__, x)) == b"".join(map(self.bytes_b.__getitem__, y)) == t.encode()
-            for t, x, y in zip(texts, a, b)
-        ]
-        good_a, good_b = ([x for x, fit in zip(ids, fits) if fit] for ids in (a, b))
-        flat_a, flat_b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (good_a, good_b))
+        n_a, n_b = [len(x) // 4 for x in a], list(map(len, b))
+        flat_a = np.frombuffer(b"".join(a), dtype="<u4").astype(np.int64)
+        flat_b = np.fromiter(chain.from_iterable(b), np.int64, sum(n_b))
+        fits = self._fits(texts, n_a, n_b, flat_a, flat_b)
+        if fits is not None:
+            flat_a, flat_b = flat_a[np.repeat(fits, n_a)], flat_b[np.repeat(fits, n_b)]
+            n_a, n_b = ([x for x, fit in zip(n, fits) if fit] for n in (n_a, n_b))
         ends_a, ends_b = np.cumsum(self.lengths_a[flat_a]), np.cumsum(self.lengths_b[flat_b])
         common = np.array(common_ends(ends_a.tolist(), ends_b.tolist()), dtype=np.int64).reshape(-1, 2) + 1
         low, last = overlaps(ends_a, ends_b)
         n = last - low + 1
         at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-        links = (np.repeat(flat_a, n) << 32) | flat_b[at]
+        links = ((np.repeat(flat_a, n) << 32) | flat_b[at]).tobytes()
         # where each stretch ends among the tokens, the groups and the links
-        last_a = np.cumsum([len(x) for x in good_a], dtype=np.int64)
+        last_a = np.cumsum(n_a, dtype=np.int64)
         last_group = np.searchsorted(common[:, 0], last_a, "right").tolist()
-        last_link = np.concatenate([[0], np.cumsum(n)])[last_a].tolist() if len(last_a) else []
+        last_link = (8 * np.concatenate([[0], np.cumsum(n)])[last_a]).tolist() if len(last_a) else []
         shown = self._shown(flat_a, flat_b, common)
         made, group, link = [], 0, 0
-        for x, y, group_end, link_end in zip(good_a, good_b, last_group, last_link):
+        for x, y, group_end, link_end in zip(n_a, n_b, last_group, last_link):
             text = shown[group] if group_end == group + 1 else ";".join(shown[group:group_end])
-            made.append((len(x), len(y), group_end - group, text, links[link:link_end].tobytes()))
+            made.append((x, y, group_end - group, text, links[link:link_end]))
             group, link = group_end, link_end
-        if len(made) == len(texts):
+        if fits is None:
             return made
         rest = iter(made)
         return [next(rest) if fit else None for fit in fits]
 
+    def _fits(self, texts: list[str], n_a: list[int], n_b: list[int], flat_a: np.ndarray, flat_b: np.ndarray) -> list[bool] | None:
+        """Whether the bytes of both kinds of tokens are those of the text, stretch by stretch; None if they are in all of them."""
+        sides = [list(map(self.bytes_a.__getitem__, flat_a.tolist())), list(map(self.bytes_b.__getitem__, flat_b.tolist()))]
+        sizes = np.fromiter((len(t) if t.isascii() else len(t.encode()) for t in texts), np.int64, len(texts))
+        last = [np.cumsum(n, dtype=np.int64) for n in (n_a, n_b)]
+        lengths = [self.lengths_a[flat_a], self.lengths_b[flat_b]]
+        same = all(np.array_equal(np.concatenate([[0], np.cumsum(x)])[at], np.cumsum(sizes)) for x, at in zip(lengths, last))
+        whole = "".join(texts).encode()
+        if same and b"".join(sides[0]) == whole and b"".join(sides[1]) == whole:
+            return None
+        cuts = zip(*[(at - n).tolist() for at, n in zip(last, (n_a, n_b))], *[at.tolist() for at in last])
+        return [
+            b"".join(sides[0][i:k]) == b"".join(sides[1][j:m]) == t.encode() for t, (i, j, k, m) in zip(texts, cuts)
+        ]
+
     def _shown(self, a: np.ndarray, b: np.ndarray, common: np.ndarray) -> list[str]:
         """The groups as text; ``common`` has the ends of the groups among the tokens of each side."""
-        texts_a, texts_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        texts_a, texts_b = (list(map(self.numbers.__getitem__, x.tolist())) for x in (a, b))
         out, i, j = [], 0, 0
         for k, m in common.tolist():
             left = texts_a[i] if k == i + 1 else ",".join(texts_a[i:k])
@@ -172,8 +195,8 @@ class ChunkLinks:
     of a document ``first`` to ``last`` in ``bag`` and ``times``: which pairs it holds, and how often."""
 
     def __init__(self, texts: list[str | None], tools: Aligner):
-        cut = [[s for s in STRETCH.findall(" " + t) if s] if t else [] for t in texts]
-        names = list(dict.fromkeys(s for stretches in cut for s in stretches))
+        cut = [STRETCH.findall(" " + t)[:-1] if t else [] for t in texts]  # the last match is empty, at the end
+        names = list(dict.fromkeys(chain.from_iterable(cut)))
         code = {s: k for k, s in enumerate(names)}
         facts = tools.known(names)
         bad = {k for k, x in enumerate(facts) if x is None}
