@@ -16,20 +16,9 @@ UNIVERSE, COORDINATES, BANDS = 1 << 20, 128, 32
 LEAST_EQUAL = 78
 #: Rows of one block when a bucket's members are compared, and rounds of pivots before that.
 BLOCK, PIVOT_ROUNDS = 512, 2
-WORDS_KEPT = 1_000_000
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-class WordHashes(dict):
-    """64-bit hashes of words seen before, bounded."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
 class Shingler:
     """Sets of hashed word shingles, their digests, signatures and band keys."""
 
@@ -40,10 +29,11 @@ class Shingler:
         second = random.permutation(UNIVERSE).astype("i4")
         circle = np.concatenate([second, second[:COORDINATES]])
         self.shifted = np.lib.stride_tricks.sliding_window_view(circle, COORDINATES)
-        self.words = WordHashes()
 
-    def hashes(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.words.__getitem__, words), dtype="u8", count=len(words))
+    @staticmethod
+    def hashes(words: list[bytes]) -> np.ndarray:
+        """64-bit hashes; hashing a word anew takes less time than looking it up, and no memory."""
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype="u8", count=len(words))
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct shingles; the whole sequence as one if it is shorter; empty without words."""
