@@ -2,8 +2,7 @@
 
 import hashlib
 import re
-from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -21,6 +20,7 @@ from replyscope.llm.encoding import MARKS, WORD_PATTERN, byte_letters, default_t
 #: A stretch ends before a blank that stands alone between other characters: no token of either kind spans that place.
 STRETCH = re.compile(r"\s*\S*(?:(?! \S)\s+\S*)*")
 STRETCHES_KEPT = 200_000
+WORDS_KEPT = 150_000
 LONGEST_KEPT = 64
 CHUNK_BYTES = 4 << 20
 
@@ -31,25 +31,38 @@ def default_pieces() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def gallop(short: list[int], long: list[int]) -> list[tuple[int, int]]:
-    """Places (in the first, in the second list) of the values that two ascending lists share.
+def gallop_places(short: np.ndarray, long: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in the first, in the second array) of the values that two ascending arrays share.
 
-    The first, shorter list drives: from the last place in the second list steps double until they pass the value, and a
-    binary search in the last step finds it.
+    Each value of the first, shorter array is searched from its place ``low`` in the second one, no later than its own: steps
+    double until they pass the value, and a binary search in the last step finds it. All values make their steps together.
     """
-    found, low, n = [], 0, len(long)
-    for i, value in enumerate(short):
-        step, high = 1, low
-        while high < n and long[high] < value:
-            low, high, step = high + 1, high + step, 2 * step
-        if low < high:  # else the first or second place tried is the one
-            low = bisect_left(long, value, low, min(high + 1, n))
-        if low >= n:
-            break
-        if long[low] == value:
-            found.append((i, low))
-            low += 1
-    return found
+    low, high, step, n = low.copy(), low.copy(), 1, len(long)
+    left = np.arange(len(short))
+    while len(left):
+        left = left[high[left] < n]
+        left = left[long[high[left]] < short[left]]
+        low[left] = high[left] + 1
+        high[left] += step
+        step *= 2
+    np.minimum(high, n, out=high)
+    left = np.flatnonzero(low < high)
+    while len(left):
+        middle = (low[left] + high[left]) >> 1
+        less = long[middle] < short[left]
+        low[left] = np.where(less, middle + 1, low[left])
+        high[left] = np.where(less, high[left], middle)
+        left = left[low[left] < high[left]]
+    found = np.flatnonzero(low < n)
+    found = found[long[low[found]] == short[found]]
+    return found, low[found]
+
+
+def gallop(short: list[int], long: list[int]) -> list[tuple[int, int]]:
+    """``gallop_places`` of two lists, searched from the first place on."""
+    a, b = np.array(short, dtype=np.int64), np.array(long, dtype=np.int64)
+    i, j = gallop_places(a, b, np.zeros(len(a), dtype=np.int64))
+    return list(zip(i.tolist(), j.tolist()))
 
 
 def common_ends(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
@@ -58,6 +71,24 @@ def common_ends(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
     return [(i, j) for j, i in gallop(ends_b, ends_a)]
 
 
+def gathered(table: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of ``table`` from ``starts`` on, end to end."""
+    ends = np.cumsum(lengths)
+    return table[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)]
+
+
+class Joined:
+    """Byte strings end to end, so that many of them are laid side by side at once."""
+
+    def __init__(self, strings: list[bytes]):
+        self.lengths = np.array([len(x) for x in strings], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(strings), dtype=np.uint8)
+
+    def of(self, which: np.ndarray) -> np.ndarray:
+        return gathered(self.bytes, self.starts[which], self.lengths[which])
+
+
 def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each token of the first side, the first and last token of the second whose bytes overlap its bytes: the rank
     of its start among the second ends, and that of its end."""
@@ -65,6 +96,22 @@ def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.searchsorted(ends_b, starts, "right"), np.searchsorted(ends_b, ends_a, "left")
 
 
+class Words(dict):
+    """Words to their ids as bytes; all are given up when there are too many."""
+
+    def __init__(self, ids: Callable[[str], bytes]):
+        super().__init__()
+        self.ids = ids
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.ids(word)
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        if len(word) <= LONGEST_KEPT:
+            self[word] = found
+        return found
+
+
 class Aligner:
     """Both tokenizers, and what is known of stretches met before: two generations, of which the older is given up."""
 
@@ -77,13 +124,13 @@ class Aligner:
         words = Tokenizer.from_file(path_a).get_vocab(with_added_tokens=False)
         self.bytes_a = {i: bytes(byte_of[c] for c in w) for w, i in words.items() if all(c in byte_of for c in w)}
         self.bytes_b = [self._piece(i) for i in range(self.pieces.vocab_size())]
-        self.lengths_a = np.zeros(max(self.bytes_a) + 1, dtype=np.int64)
-        self.lengths_a[list(self.bytes_a)] = [len(x) for x in self.bytes_a.values()]
-        self.lengths_b = np.array([len(x) for x in self.bytes_b])
+        self.joined_a = Joined([self.bytes_a.get(i, b"") for i in range(max(self.bytes_a) + 1)])
+        self.joined_b = Joined(self.bytes_b)
+        self.lengths_a, self.lengths_b = self.joined_a.lengths, self.joined_b.lengths
         self.packed = [i.to_bytes(4, "little") for i in range(len(self.lengths_a))]
-        self.numbers = [str(i) for i in range(max(len(self.lengths_a), len(self.lengths_b)))]
+        self.numbers = Joined([b"%d," % i for i in range(max(len(self.lengths_a), len(self.lengths_b)))])
         self.split = regex.compile(WORD_PATTERN).findall
-        self.short: dict[str, bytes] = {}
+        self.words = Words(self.word_a)
         self.young: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
 
@@ -93,21 +140,17 @@ class Aligner:
 
     def ids_a(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
+        words = self.words
         if text[1:].isalpha() and text[0] == " ":  # one word, as most stretches
-            return self.word_a(text)
+            return words[text]
         if text[-1] in MARKS and text[0] == " " and plain_letters(text[1:-1]):
-            return self.word_a(text[:-1]) + self.word_a(text[-1])
-        return b"".join(map(self.word_a, self.split(text)))
+            return words[text[:-1]] + words[text[-1]]
+        return b"".join(map(words.__getitem__, self.split(text)))
 
     def word_a(self, word: str) -> bytes:
-        if len(word) < 3 and word in self.short:
-            return self.short[word]
         latin = word if word.isascii() else word.encode().decode("latin-1")
         packed = self.packed
-        known = b"".join([packed[t.id] for t in self.model.tokenize(latin.translate(self.letters))])
-        if len(word) < 3:
-            self.short[word] = known
-        return known
+        return b"".join([packed[t.id] for t in self.model.tokenize(latin.translate(self.letters))])
 
     def known(self, stretches: list[str]) -> list[tuple | None]:
         """What ``aligned`` gives for each stretch."""
@@ -134,21 +177,25 @@ class Aligner:
             flat_a, flat_b = flat_a[np.repeat(fits, n_a)], flat_b[np.repeat(fits, n_b)]
             n_a, n_b = ([x for x, fit in zip(n, fits) if fit] for n in (n_a, n_b))
         ends_a, ends_b = np.cumsum(self.lengths_a[flat_a]), np.cumsum(self.lengths_b[flat_b])
-        common = np.array(common_ends(ends_a.tolist(), ends_b.tolist()), dtype=np.int64).reshape(-1, 2) + 1
+        # where each stretch ends among the tokens of either kind
+        size_a, size_b = np.array(n_a, dtype=np.int64), np.array(n_b, dtype=np.int64)
+        last_a, last_b = np.cumsum(size_a), np.cumsum(size_b)
+        if len(flat_a) <= len(flat_b):  # a token's end is searched from the first token of its stretch
+            common = np.stack(gallop_places(ends_a, ends_b, np.repeat(last_b - size_b, size_a)), axis=1) + 1
+        else:
+            common = np.stack(gallop_places(ends_b, ends_a, np.repeat(last_a - size_a, size_b))[::-1], axis=1) + 1
         low, last = overlaps(ends_a, ends_b)
         n = last - low + 1
         at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
         links = ((np.repeat(flat_a, n) << 32) | flat_b[at]).tobytes()
-        # where each stretch ends among the tokens, the groups and the links
-        last_a = np.cumsum(n_a, dtype=np.int64)
+        # and among the groups, their text and the links
         last_group = np.searchsorted(common[:, 0], last_a, "right").tolist()
         last_link = (8 * np.concatenate([[0], np.cumsum(n)])[last_a]).tolist() if len(last_a) else []
-        shown = self._shown(flat_a, flat_b, common)
-        made, group, link = [], 0, 0
-        for x, y, group_end, link_end in zip(n_a, n_b, last_group, last_link):
-            text = shown[group] if group_end == group + 1 else ";".join(shown[group:group_end])
-            made.append((x, y, group_end - group, text, links[link:link_end]))
-            group, link = group_end, link_end
+        shown, last_shown = self._shown(flat_a, flat_b, common, last_a + last_b)
+        made, group, text, link = [], 0, 0, 0
+        for x, y, group_end, text_end, link_end in zip(n_a, n_b, last_group, last_shown, last_link):
+            made.append((x, y, group_end - group, shown[text : text_end - 1], links[link:link_end]))
+            group, text, link = group_end, text_end, link_end
         if fits is None:
             return made
         rest = iter(made)
@@ -156,28 +203,32 @@ class Aligner:
 
     def _fits(self, texts: list[str], n_a: list[int], n_b: list[int], flat_a: np.ndarray, flat_b: np.ndarray) -> list[bool] | None:
         """Whether the bytes of both kinds of tokens are those of the text, stretch by stretch; None if they are in all of them."""
-        sides = [list(map(self.bytes_a.__getitem__, flat_a.tolist())), list(map(self.bytes_b.__getitem__, flat_b.tolist()))]
         sizes = np.fromiter((len(t) if t.isascii() else len(t.encode()) for t in texts), np.int64, len(texts))
         last = [np.cumsum(n, dtype=np.int64) for n in (n_a, n_b)]
         lengths = [self.lengths_a[flat_a], self.lengths_b[flat_b]]
         same = all(np.array_equal(np.concatenate([[0], np.cumsum(x)])[at], np.cumsum(sizes)) for x, at in zip(lengths, last))
-        whole = "".join(texts).encode()
-        if same and b"".join(sides[0]) == whole and b"".join(sides[1]) == whole:
+        whole = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+        if same and np.array_equal(self.joined_a.of(flat_a), whole) and np.array_equal(self.joined_b.of(flat_b), whole):
             return None
+        sides = [list(map(self.bytes_a.__getitem__, flat_a.tolist())), list(map(self.bytes_b.__getitem__, flat_b.tolist()))]
         cuts = zip(*[(at - n).tolist() for at, n in zip(last, (n_a, n_b))], *[at.tolist() for at in last])
         return [
             b"".join(sides[0][i:k]) == b"".join(sides[1][j:m]) == t.encode() for t, (i, j, k, m) in zip(texts, cuts)
         ]
 
-    def _shown(self, a: np.ndarray, b: np.ndarray, common: np.ndarray) -> list[str]:
-        """The groups as text; ``common`` has the ends of the groups among the tokens of each side."""
-        texts_a, texts_b = (list(map(self.numbers.__getitem__, x.tolist())) for x in (a, b))
-        out, i, j = [], 0, 0
-        for k, m in common.tolist():
-            left = texts_a[i] if k == i + 1 else ",".join(texts_a[i:k])
-            out.append(f"{left}|{texts_b[j] if m == j + 1 else ','.join(texts_b[j:m])}")
-            i, j = k, m
-        return out
+    def _shown(self, a: np.ndarray, b: np.ndarray, common: np.ndarray, last: np.ndarray) -> tuple[str, list[int]]:
+        """The groups as text, a mark behind each, and where it ends for the first ``last`` tokens of both kinds; ``common`` has
+        the ends of the groups among the tokens of each side."""
+        ends_a, ends_b = common[:, 0], common[:, 1]
+        n_a, n_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+        ids = np.empty(len(a) + len(b), dtype=np.int64)  # group after group, its first side before its second
+        ids[np.arange(len(a)) + np.repeat(ends_b - n_b, n_a)] = a
+        ids[np.arange(len(b)) + np.repeat(ends_a, n_b)] = b
+        ends = np.concatenate([[0], np.cumsum(self.numbers.lengths[ids])])
+        text = self.numbers.of(ids)
+        text[ends[ends_a + ends_b - n_b] - 1] = ord("|")
+        text[ends[ends_a + ends_b] - 1] = ord(";")
+        return text.tobytes().decode("ascii"), ends[last].tolist()
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
