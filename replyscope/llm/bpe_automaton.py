@@ -3,6 +3,7 @@
 import hashlib
 import json
 import re
+from functools import cached_property
 
 import numpy as np
 import regex
@@ -95,21 +96,37 @@ class AutomatonTokenizer:
             label: i for i, label in enumerate(self.labels)
             if label and self.automaton.alive[i] and i not in self.special.values()
         }
-        # for each beginning of a label the longest arc that it begins with, and for each arc the next shorter one
-        self.sizes, self.begins, self.shorter = list(map(len, self.labels)), {}, [-1] * size
-        for label, i in sorted(self.arcs.items()):  # a label's own beginnings stand before it
-            found = -1
-            for end in range(1, len(label)):
-                beginning = label[:end]
-                found = self.begins.setdefault(beginning, self.arcs.get(beginning, found))
-            self.shorter[i] = found
-            self.begins[label] = i
         self.packed_ids = [i.to_bytes(4, "little") for i in range(size)]
         self.numbers = [str(i) for i in range(size)]
         self.split = regex.compile(WORD_PATTERN).findall
         self.apart = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.words, self.pieces = Words(self), Pieces(self)
 
+    @cached_property
+    def sizes(self) -> list[int]:
+        return list(map(len, self.labels))
+
+    @cached_property
+    def _nested(self) -> tuple[dict[bytes, int], list[int]]:
+        """For each beginning of a label the longest arc that it begins with, and for each arc the next shorter one."""
+        begins, shorter = {}, [-1] * len(self.labels)
+        for label, i in sorted(self.arcs.items()):  # a label's own beginnings stand before it
+            found = -1
+            for end in range(1, len(label)):
+                beginning = label[:end]
+                found = begins.setdefault(beginning, self.arcs.get(beginning, found))
+            shorter[i] = found
+            begins[label] = i
+        return begins, shorter
+
+    @cached_property
+    def begins(self) -> dict[bytes, int]:
+        return self._nested[0]
+
+    @cached_property
+    def shorter(self) -> list[int]:
+        return self._nested[1]
+
     def word_ids(self, data: bytes) -> list[int]:
         """The one accepted path that spells ``data``, searched from its start: at each place the longest arc first, then shorter ones.
 
