@@ -81,3 +81,16 @@ def test_many_clusters_are_summed_in_little_memory():
     far = np.sqrt(((x[:, None] - y[None]) ** 2).sum(2))
     for c in (0, 499, 7_000):
         assert np.allclose(sums.sums[0, c], far[:, label == c].sum(axis=1))
+
+
+def test_points_are_not_copied_for_each_block(spark):
+    """All points pass the blocks where they lie: no exchange of points grows with the number of blocks; points without id are met but not listed."""
+    rng = np.random.default_rng(8)
+    x, label = rng.normal(size=(300, 3)), np.arange(300) % 4
+    rows = [(i if i else None, p.tolist(), [int(c)]) for i, (p, c) in enumerate(zip(x, label))]
+    df = spark.createDataFrame(rows, "id long, v array<double>, l array<int>")
+    plan = topics._distance_totals(df, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan and "Sort" not in plan
+    got = {r.id: r.silhouette for r in topics.silhouettes(df, "id", "v", "l", 20).collect()}
+    want = brute(x, label, False)
+    assert set(got) == set(range(1, 300)) and all(got[i] == pytest.approx(want[i], abs=1e-6) for i in got)
