@@ -96,6 +96,7 @@ class AutomatonTokenizer:
             label: i for i, label in enumerate(self.labels)
             if label and self.automaton.alive[i] and i not in self.special.values()
         }
+        _ = self.sizes, self.begins, self.shorter  # made here, not with the first word
         self.packed_ids = [i.to_bytes(4, "little") for i in range(size)]
         self.numbers = [str(i) for i in range(size)]
         self.split = regex.compile(WORD_PATTERN).findall
